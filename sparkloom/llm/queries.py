@@ -6,10 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, warc
+from . import counts, packing, pieces, sharding, warc
 from .common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file; every executor has the package that holds them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -19,6 +38,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pieces": op3_pieces,
+    "op8_token_counts": op8_token_counts,
+    "op10_packing": op10_packing,
     "op7_warc": op7_warc,
     "op9_sharding": op9_sharding,
 }
