@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, packing, pieces, sharding, warc
+from . import counts, packing, pieces, pii, sharding, warc
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_spans(table(spark, sf_dir, "documents")).drop("all_spans")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -39,6 +43,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces": op3_pieces,
+    "op5_pii": op5_pii,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
     "op7_warc": op7_warc,
