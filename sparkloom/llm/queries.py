@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, packing, pieces, pii, sharding, warc
+from . import counts, neighbours, packing, pieces, pii, sharding, top_k, warc
 from .common import table
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -33,6 +37,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -42,15 +50,54 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_top_k": op2_top_k,
     "op3_pieces": op3_pieces,
     "op5_pii": op5_pii,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
+    "op6_neighbours": op6_neighbours,
     "op7_warc": op7_warc,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+            from embeddings
+            where vec_id is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        ),
+        s as (
+            select a.vec_id as query_id, b.vec_id as vec_id,
+                   cast(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) as bigint) as score
+            from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+            where a.vec_id % 50 = 0
+        ),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+        select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+    """,
+    "op6_neighbours": """
+        with recursive v as (
+            select vec_id, embedding::double[] as e, sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) as n
+            from embeddings
+            where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        ),
+        l as (
+            select a.vec_id as a, b.vec_id as b
+            from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and a.n > 0 and b.n > 0
+            where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95
+        ),
+        reach(node, other) as (
+            select vec_id, vec_id from embeddings
+            union
+            select reach.node, l.b from reach join l on reach.other = l.a
+        ),
+        c as (select node, min(other) as component_id from reach group by 1),
+        k as (select a, count(*) as n_links from l group by 1)
+        select vec_id, cast(coalesce(n_links, 0) as bigint) as n_links, component_id, vec_id = component_id as kept
+        from embeddings join c on vec_id = node left join k on vec_id = a
+    """,
     "op7_warc": """
         with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
         d as (select page_id, octet_length(payload) as payload_bytes, sha1(payload) as payload_digest from p),
