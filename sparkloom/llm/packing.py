@@ -6,9 +6,11 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from .segments import gathered, slices, text_array, whitespace_parts
 
 #: Words that are encoded in one call, with a special token between them.
 JOINED = 2000
+#: Words of texts whose ids are gathered at once.
+GATHERED = 200_000
 #: Items among which the next for a sequence is chosen.
 POOL = 512
 #: A sequence is closed with so many tokens of room, rather than given a shorter piece of a text.
@@ -30,44 +34,68 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def word_ids(tokenizer, words: pa.Array, between: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of each word on its own, and their bounds.
+def _plain_ids(tokenizer, words: list[str]) -> list[list[int]]:
+    """Ids of words of a-z alone: such a word is one pre-token that normalisation leaves as it is."""
+    merge = tokenizer.model.tokenize
+    return [[t.id for t in merge(w)] for w in words]
 
-    Words are joined by the special token `between`, which parts what the tokenizer sees and shows in its ids where a
-    word ends. Words that hold it are encoded one by one.
-    """
+
+def _odd_ids(tokenizer, words: list[str], between: str) -> list[list[int]]:
+    """Ids of any words. They are joined by the special token `between`, which parts what the tokenizer sees and shows
+    in the ids where a word ends; words that hold it are encoded one by one."""
     mark = tokenizer.token_to_id(between)
-    own = words.to_pylist()
-    odd = {i for i, w in enumerate(own) if "<|" in w and between in w}
-    flat, counts = [], np.zeros(len(own), np.int64)
-    for first in range(0, len(own), JOINED):
-        chunk = own[first : first + JOINED]
-        for i in odd & set(range(first, first + len(chunk))):
-            chunk[i - first] = ""
-        ids = np.array(tokenizer.encode(between.join(chunk), add_special_tokens=False).ids, np.uint32)
-        ends = np.flatnonzero(ids == mark)
-        counts[first : first + len(chunk)] = np.diff(np.concatenate([[-1], ends, [ids.size]])) - 1
-        flat.append(ids[ids != mark])
-    ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    if odd:
-        pieces = np.split(ids, bounds[1:-1])
-        for i in odd:
-            pieces[i] = np.array(tokenizer.encode(own[i], add_special_tokens=False).ids, np.uint32)
-        ids, bounds = np.concatenate(pieces), np.concatenate([[0], np.cumsum([x.size for x in pieces])])
-    return ids, bounds
-
-
-def text_ids(tokenizer, texts: pa.Array, between: str, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of whole texts, each ended by `end_id` if there is one, and their bounds. The tokenizer parts texts at white space."""
+    alone = {i for i, w in enumerate(words) if between in w}
+    ids = tokenizer.encode(between.join("" if i in alone else w for i, w in enumerate(words)), add_special_tokens=False).ids
+    out: list[list[int]] = [[]]
+    for i in ids if words else ():
+        if i == mark:
+            out.append([])
+        else:
+            out[-1].append(i)
+    for i in alone:
+        out[i] = tokenizer.encode(words[i], add_special_tokens=False).ids
+    return out[: len(words)]
+
+
+def word_ids(tokenizer, words: pa.Array, between: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of each word on its own, and their bounds. A full stop or comma that ends a word after a letter is a
+    pre-token of its own, so words are encoded once for all such endings."""
+    ended = pc.match_substring_regex(words, r"[a-z][.,]$")
+    stems = pc.replace_substring_regex(words, r"([a-z])[.,]$", r"\1").dictionary_encode()
+    unique = stems.dictionary
+    plain = pc.match_substring_regex(unique, r"^[a-z]+$").to_numpy(zero_copy_only=False)
+    flat, sizes = [], np.zeros(len(unique) + 3, np.int64)
+    for first in range(0, len(unique), JOINED):
+        own, is_plain = unique.slice(first, JOINED).to_pylist(), plain[first : first + JOINED].tolist()
+        simple = iter(_plain_ids(tokenizer, [w for w, p in zip(own, is_plain, strict=True) if p]))
+        odd = iter(_odd_ids(tokenizer, [w for w, p in zip(own, is_plain, strict=True) if not p], between))
+        found = [next(simple if p else odd) for p in is_plain]
+        sizes[first : first + len(own)] = list(map(len, found))
+        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[first : first + len(own)].sum())))
+    for k, c in enumerate(".,"):
+        flat.append(np.array(tokenizer.encode(c, add_special_tokens=False).ids, np.uint32))
+        sizes[len(unique) + k] = flat[-1].size
+    ending = np.where(ended.to_numpy(zero_copy_only=False), np.where(pc.ends_with(words, ".").to_numpy(zero_copy_only=False), 0, 1), 2) + len(unique)
+    ids, spread = gathered(np.concatenate(flat), np.concatenate([[0], np.cumsum(sizes)]), np.stack([stems.indices.to_numpy(), ending], 1).ravel())
+    return ids, np.concatenate([[0], np.cumsum(spread.reshape(-1, 2).sum(1))])
+
+
+def text_ids(tokenizer, texts: pa.Array, between: str, end_id: int | None) -> Iterator[np.ndarray]:
+    """Ids of each whole text, ended by `end_id` if there is one. The tokenizer parts texts at white space."""
+    # lower case comes first in any case; where a special token may stand it must be left as it is
+    texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
     parts = whitespace_parts(texts)
-    ids, sizes = gathered(*word_ids(tokenizer, parts.words, between), parts.codes)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])[parts.bounds]
-    if end_id is None:
-        return ids, bounds
-    out = np.full(ids.size + len(texts), end_id, np.uint32)
-    out[np.arange(ids.size) + np.repeat(np.arange(len(texts)), np.diff(bounds))] = ids
-    return out, bounds + np.arange(len(texts) + 1)
+    del texts
+    flat, bounds = word_ids(tokenizer, parts.words, between)
+    end = np.array([] if end_id is None else [end_id], np.uint32)
+    lots = parts.bounds // GATHERED
+    cuts = [0, *(np.flatnonzero(np.diff(lots[:-1])) + 1).tolist(), len(parts.bounds) - 1]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own = parts.bounds[a : b + 1]
+        ids, sizes = gathered(flat, bounds, parts.codes[own[0] : own[-1]])
+        at = np.concatenate([[0], np.cumsum(sizes)])[own - own[0]].tolist()
+        for x, y in zip(at[:-1], at[1:], strict=True):
+            yield np.concatenate([ids[x:y], end])
 
 
 @dataclass
@@ -220,16 +248,13 @@ def packed(
         names = ["doc_id", *(x.split()[0] for x in PIECE.split(", ")), *["ids"] * with_ids]
         for batch in slices(batches):
             doc_kind = batch.schema.field(0).type
-            ids, bounds = text_ids(tokenizer, text_array(batch.column(1)), between, end_id)
-            prompts = text_ids(tokenizer, text_array(batch.column(2)), between, None) if prompt_col else None
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                own, loss_from = ids[bounds[k] : bounds[k + 1]], 0
-                if prompts is not None:
-                    head = prompts[0][prompts[1][k] : prompts[1][k + 1]]
-                    own, loss_from = np.concatenate([head, own]), head.size
+            texts = text_ids(tokenizer, text_array(batch.column(1)), between, end_id)
+            prompts = text_ids(tokenizer, text_array(batch.column(2)), between, None) if prompt_col else repeat(np.zeros(0, np.uint32))
+            for doc, own, prompt in zip(batch.column(0).to_pylist(), texts, prompts, strict=False):
+                own = np.concatenate([prompt, own]) if prompt_col else own
                 if own.size:
-                    waiting[number] = (doc, own.copy(), loss_from)
-                    note(packer.add(number, own.size, loss_from))
+                    waiting[number] = (doc, own, prompt.size)
+                    note(packer.add(number, own.size, prompt.size))
                     number += 1
             yield rows()
         note(packer.finish())

@@ -13,9 +13,13 @@ MARK = "▁"
 
 
 def text_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """A large_string array without nulls; a null text is empty."""
+    """A large_string array without nulls whose offsets begin at 0 (some kernels fail on others); a null text is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = texts.buffers()[2] if len(texts) else None
+    data = pa.py_buffer(b"") if data is None else data.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), data)
 
 
 @dataclass
