@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, neighbours, packing, pieces, pii, sharding, top_k, warc
+from . import counts, neighbours, packing, pieces, pii, sharding, top_k, toxicity, warc
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learned(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.with_spans(table(spark, sf_dir, "documents")).drop("all_spans")
 
@@ -52,6 +57,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_top_k": op2_top_k,
     "op3_pieces": op3_pieces,
+    "op4_toxicity": op4_toxicity,
     "op5_pii": op5_pii,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
