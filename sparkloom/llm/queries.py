@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, neighbours, packing, pieces, pii, sharding, top_k, toxicity, warc
+from . import counts, jaccard, neighbours, packing, pieces, pii, sharding, top_k, toxicity, warc
 from .common import table
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_inner_products(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": op1_jaccard,
     "op2_top_k": op2_top_k,
     "op3_pieces": op3_pieces,
     "op4_toxicity": op4_toxicity,
