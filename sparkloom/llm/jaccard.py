@@ -320,3 +320,17 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id
     of_class = known.join(classes.select("key", "key2", "class_id"), ["key", "key2"], "left").join(parts, "class_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("part", "class_id", "doc_id"))
     return of_class.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that have the smallest id of their component; of rows that repeat an id, one.
+
+    Rows with a null id stay.
+    """
+    found = stored(jaccard_components(docs, percent=percent, width=width, id_col=id_col, text_col=text_col), "jaccard-result")
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    again = stored(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(id_col)), "jaccard-again")
+    if again.isEmpty():
+        return kept
+    return kept.join(again, id_col, "left_anti").unionByName(kept.join(again, id_col, "left_semi").dropDuplicates([id_col])).select(*docs.columns)

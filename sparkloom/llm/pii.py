@@ -80,10 +80,12 @@ KEEP = {
 SPAN = "array<struct<start:int,end:int,value:string,context:string>>"
 
 
-def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """doc_id, row_number_, a column of spans for each kind, and `candidates`: other words that may be identifiers."""
+def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False) -> DataFrame:
+    """doc_id, row_number_, a column of spans for each kind, and `candidates`: other words that may be identifiers;
+    with `keep_rows` also `row_`, the whole row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row_number_"))
+    whole = [F.struct(*(docs[c] for c in docs.columns)).alias("row_")] if keep_rows else []
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row_number_"), *whole)
     for kind in KINDS:
         need = F.rlike("text", F.lit(NEEDS[kind]))
         rows = rows.withColumn(f"{kind}_cut", F.when(need, _located(F.col("text"), PATTERNS[kind])))
@@ -96,7 +98,7 @@ def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     apart = " and ".join(f"not exists(z.{k}, b -> b.start < x.end and x.start < b.end)" for k in KINDS)
     bound = f"array(struct(candidates, {', '.join(KINDS)}))"
     rows = rows.withColumn("candidates", F.expr(f"case when candidates is null then cast(array() as {SPAN}) else transform({bound}, z -> filter(z.candidates, x -> {apart}))[0] end"))
-    return rows.select("doc_id", "row_number_", *KINDS, "candidates", *["text"] * keep_text)
+    return rows.select("doc_id", "row_number_", *KINDS, "candidates", *["row_"] * keep_rows)
 
 
 def discovered(spans: DataFrame, *, rounds: int, least_seeds: int, least_confidence: float, least_patterns: int) -> DataFrame:
@@ -142,18 +144,18 @@ def with_spans(
     least_seeds: int = 5,
     least_confidence: float = 0.8,
     least_patterns: int = 2,
-    keep_text: bool = False,
+    keep_rows: bool = False,
 ) -> DataFrame:
     """Find personal data in every whole text.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (base and added ones, by start, then
-    kind), n_added, and `all_spans` as an array, with the text if `keep_text`.
+    kind), n_added, and `all_spans` as an array, with the whole row as `row_` if `keep_rows`.
 
     Base spans are those of PATTERNS that pass KEEP. discovered() adds candidates that stand in contexts which the base
     spans of a kind have made reliable, under that kind. A null or empty text has no spans and the digest of the empty
     list. Repeated rows and null ids are kept as they are. An empty table gives an empty result. Other columns are ignored.
     """
-    found = stored(base_spans(docs, id_col=id_col, text_col=text_col, keep_text=keep_text), "pii-spans")
+    found = stored(base_spans(docs, id_col=id_col, text_col=text_col, keep_rows=keep_rows), "pii-spans")
     values = stored(discovered(found, rounds=rounds, least_seeds=least_seeds, least_confidence=least_confidence, least_patterns=least_patterns), "pii-values")
     hits = found.select("row_number_", F.explode("candidates").alias("s")).withColumn("value", F.lower("s.value")).join(values, "value")
     added = hits.groupBy("row_number_").agg(F.collect_list(F.struct(F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))).alias("added"))
@@ -170,7 +172,7 @@ def with_spans(
         F.expr(_joined("all_spans")).alias("spans"),
         F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_added"),
         "all_spans",
-        *["text"] * keep_text,
+        *["row_"] * keep_rows,
     )
 
 
@@ -193,3 +195,15 @@ def redacted(text: Column, spans: Column) -> Column:
         return F.concat(F.array_join(parts, ""), F.substring(text, F.element_at(own, -1)["end"] + 1, F.length(text)))
 
     return F.when(F.size(spans) > 0, F.transform(F.array(merged), cut)[0]).otherwise(text)
+
+
+def without_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, **options) -> DataFrame:
+    """All rows and columns, with personal data in the text redacted; `length_col` becomes the length of the new text.
+
+    Nulls, repeated rows and empty tables: see with_spans(); a null text stays null.
+    """
+    rows = with_spans(docs, id_col=id_col, text_col=text_col, keep_rows=True, **options)
+    own = lambda c: F.col("row_").getField(c)
+    text = redacted(own(text_col), F.col("all_spans"))
+    new = {text_col: text} | ({length_col: F.length(text).cast(docs.schema[length_col].dataType)} if length_col else {})
+    return rows.select(*((new[c] if c in new else own(c)).alias(c) for c in docs.columns))

@@ -310,7 +310,7 @@ def held_out(doc_id: Column, of: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of == 0, F.lit(False))
 
 
-def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, held_out_of: int = 5) -> DataFrame:
+def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = 5) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text, from all its windows; ids and labels are no inputs.
 
     A null or empty text has one window of padding. Rows are independent: repeated ones get equal scores. Null ids
@@ -321,9 +321,20 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most_bytes=8 << 20):
             score = sent.value.scores(text_array(batch.column(1)))
-            yield pa.record_batch([batch.column(0), *([batch.column(1)] if keep_text else []), pa.array(score, pa.float64())], names=["doc_id", *["text"] * keep_text, "score"])
+            yield pa.record_batch([batch.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
     rows = id_text(docs, id_col, text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"doc_id {kind}, " + "text string, " * keep_text + "score double")
-    return out.select("doc_id", held_out(F.col("doc_id"), held_out_of).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *["text"] * keep_text)
+    out = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return out.select("doc_id", held_out(F.col("doc_id"), held_out_of).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows whose text scores below `least`, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, column=at, most_bytes=8 << 20):
+            yield batch.filter(pa.array(sent.value.scores(text_array(batch.column(at))) < least))
+
+    return docs.mapInArrow(run, docs.schema)
