@@ -20,11 +20,16 @@ SHARD_ROWS, LEAST_SHARDS, SMALL = 50_000, 8, 1024
 #: Links of a node on the ground layer and above it, width of the beam while building.
 GROUND, UPPER, BUILD_BEAM = 24, 12, 48
 #: Queries searched together, nodes opened at once, first beam, and the beam beyond which a query scans the shard.
-BATCH, OPENED, BEAM, WIDEST = 512, 4, 32, 1024
+BATCH, OPENED, BEAM, WIDEST = 512, 4, 32, 256
 #: Queries of each batch that are held against the whole shard, and what share of their neighbours must be found.
 AUDITED, RECALL = 16, 0.999
 
 
+def _dots(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products of each row's vectors with the row's query."""
+    return (vectors @ queries[:, :, None])[:, :, 0]
+
+
 class SmallWorld:
     """Layers of links over unit vectors; layer 0 holds all nodes, each further one about a twelfth of the one below."""
 
@@ -72,7 +77,7 @@ class SmallWorld:
         rows, count = ids.shape
         taken = np.zeros((rows, count), bool)
         vectors = self.vectors[np.maximum(ids, 0)]
-        between = np.einsum("rid,rjd->rij", vectors, vectors)
+        between = vectors @ vectors.transpose(0, 2, 1)
         open_ = np.isfinite(sims) & (ids >= 0)
         for j in range(count):
             shadowed = (between[:, j, :j] > sims[:, j, None]) & taken[:, :j]
@@ -101,7 +106,7 @@ class SmallWorld:
             t = uniq[a : a + 256]
             both = np.sort(np.concatenate([links[t], cand[a : a + 256]], 1), 1)
             again = np.concatenate([np.zeros((len(t), 1), bool), both[:, 1:] == both[:, :-1]], 1) | (both == t[:, None])
-            s = np.einsum("rkd,rd->rk", self.vectors[np.maximum(both, 0)], self.vectors[t])
+            s = _dots(self.vectors[np.maximum(both, 0)], self.vectors[t])
             s[again | (both < 0)] = -np.inf
             sort = np.argsort(-s, 1, kind="stable")[:, : 3 * width]
             links[t] = self._chosen(np.take_along_axis(both, sort, 1), np.take_along_axis(s, sort, 1), width)
@@ -121,7 +126,7 @@ class SmallWorld:
         ids = np.full((count, beam), -1, np.int32)
         sims = np.full((count, beam), -np.inf, np.float32)
         ids[:, : entry.shape[1]] = entry
-        sims[:, : entry.shape[1]] = np.where(entry >= 0, np.einsum("rkd,rd->rk", self.vectors[np.maximum(entry, 0)], queries), -np.inf)
+        sims[:, : entry.shape[1]] = np.where(entry >= 0, _dots(self.vectors[np.maximum(entry, 0)], queries), -np.inf)
         closed = sims == -np.inf
         seen = np.zeros((count, n + 1), bool)
         np.put_along_axis(seen, np.where(entry >= 0, entry, n), True, 1)
@@ -136,7 +141,7 @@ class SmallWorld:
             near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
             near[seen[rows[:, None], np.where(near >= 0, near, n)] | (near < 0)] = -1
             seen[rows[:, None], np.where(near >= 0, near, n)] = True
-            found = np.einsum("rkd,rd->rk", self.vectors[np.maximum(near, 0)], queries[rows])
+            found = _dots(self.vectors[np.maximum(near, 0)], queries[rows])
             found[near < 0] = -np.inf
             both = np.concatenate([sims[rows], found], 1)
             sort = np.argsort(-both, 1, kind="stable")[:, :beam]
@@ -196,15 +201,17 @@ def linked(world: SmallWorld, whole: np.ndarray, queries: np.ndarray, least: flo
         own_beam = beam
         while open_.size and own_beam <= WIDEST and len(whole) > 4 * own_beam:
             ids, sims = world.search(own[open_], own_beam)
-            audit = np.linspace(0, len(open_) - 1, min(AUDITED, len(open_))).astype(int)
-            true = whole @ own[open_[audit]].T >= least
             hit = (sims >= loose) & (ids >= 0)
+            full = hit.all(1)
+            # a beam full of neighbours is widened in any case
+            audit = np.flatnonzero(~full)
+            audit = audit[np.linspace(0, len(audit) - 1, min(AUDITED, len(audit))).astype(int)]
+            true = whole @ own[open_[audit]].T >= least
             got = sum(true[ids[a][hit[a]], k].sum() for k, a in enumerate(audit))
             if got < RECALL * true.sum():
                 own_beam *= 2
                 beam = max(beam, own_beam)
                 continue
-            full = hit.all(1)
             q, j = np.nonzero(hit & ~full[:, None])
             found.append((open_[q], ids[q, j]))
             open_ = open_[full]
