@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text
-from .segments import Parts, code_points, slices, text_array, whitespace_parts
+from .segments import Parts, code_points, slices, text_array, trim, whitespace_parts
 
 #: Words of a window, and from one window's start to the next's.
 WINDOW, STRIDE = 32, 24
@@ -21,10 +23,12 @@ WINDOW, STRIDE = 32, 24
 BUCKETS, GRAMS = 1 << 18, (4, 5, 6)
 #: Units of the network in each direction.
 UNITS = 8
+#: Words whose n-grams are looked at together.
+LOT = 32_768
 #: Windows that are scored at once.
-AT_ONCE = 4096
+AT_ONCE = 2048
 #: Labelled texts that the model is fitted on at most, of either label, and the longest of them in characters.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 2500, 30_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 2500, 20_000
 FOLDS = 5
 PAD_FEATURES = (0.0, 0.0, 0.0, 0.0, 1.0)
 
@@ -38,7 +42,7 @@ def lowered_parts(texts: pa.Array) -> Parts:
     return whitespace_parts(pc.utf8_lower(texts))
 
 
-def hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each word's letters and digits, buckets of its character n-grams with their bounds, and its length."""
     bare = pc.replace_substring_regex(words, r"[^\pL\pN]+", "")
     begin, end, between = (pa.scalar(c, pa.large_string()) for c in ("^", "$", ""))
@@ -62,12 +66,24 @@ def hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         owners.append(own[good])
     gram, owner = np.concatenate(grams), np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return word, gram[order], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=lengths.size))]), lengths - 2
+    return word.astype(np.int32), gram[order].astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=lengths.size))]), lengths - 2
 
 
-def word_inputs(words: pa.Array, word_odds: np.ndarray, gram_odds: np.ndarray) -> np.ndarray:
-    """Inputs for each word: learned odds of the word, the largest and the mean of its n-grams, its length; the last one marks padding."""
-    word, gram, bounds, length = hashed(words)
+def hashed(words: pa.Array) -> Iterator[tuple]:
+    """What _hashed() gives, for lots of words: the n-grams of all at once would take too much room."""
+    for first in range(0, len(words), LOT):
+        yield _hashed(words.slice(first, LOT))
+
+
+def word_inputs(lots: Iterator[tuple], word_odds: np.ndarray, gram_odds: np.ndarray) -> np.ndarray:
+    """Inputs for each word, and a last row for padding."""
+    rows = [_inputs(lot, word_odds, gram_odds) for lot in lots]
+    return np.concatenate([*rows, np.array([PAD_FEATURES], np.float32)])
+
+
+def _inputs(lot: tuple, word_odds: np.ndarray, gram_odds: np.ndarray) -> np.ndarray:
+    """Learned odds of the word, the largest and the mean of its n-grams, its length; the last input marks padding."""
+    word, gram, bounds, length = lot
     odds = gram_odds[gram]
     some = np.flatnonzero(np.diff(bounds))
     most, mean = np.zeros(len(word), np.float32), np.zeros(len(word), np.float32)
@@ -194,7 +210,7 @@ class Model:
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Score of each text: that of its window with the largest logit."""
         parts = lowered_parts(texts)
-        inputs = np.concatenate([word_inputs(parts.words, self.word_odds, self.gram_odds), np.array([PAD_FEATURES], np.float32)])
+        inputs = word_inputs(hashed(parts.words), self.word_odds, self.gram_odds)
         gates = [self.network.gates(inputs, d) for d in "fb"]
         codes, text = windows(parts)
         best = np.full(len(texts), -np.inf)
@@ -233,12 +249,20 @@ def fit(texts: list[str], labels: list[int], *, steps: int = 400, seed: int = 1)
         flat = np.zeros(BUCKETS, np.float32)
         return Model(Network(len(PAD_FEATURES), seed=seed), flat, flat, 0.0, 0.0 if not texts else (3.0 if y[0] else -3.0))
     parts = lowered_parts(text_array(pa.array(texts, pa.string())))
-    word, gram, gram_bounds, _ = hashed(parts.words)
-    found = []
-    for a, b in zip(parts.bounds[:-1], parts.bounds[1:], strict=True):
+    lots = list(hashed(parts.words))
+
+    def occurring(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the words and of the n-grams of one text."""
         own = np.unique(parts.codes[a:b])
-        spans = [gram[gram_bounds[c] : gram_bounds[c + 1]] for c in own]
-        found.append((np.unique(word[own]), np.unique(np.concatenate(spans)) if spans else np.zeros(0, np.int64)))
+        words, grams = [], []
+        for k in np.unique(own // LOT):
+            word, gram, gram_bounds, _ = lots[k]
+            at = own[own // LOT == k] - k * LOT
+            words.append(word[at])
+            grams += [gram[gram_bounds[c] : gram_bounds[c + 1]] for c in at]
+        return tuple(np.unique(np.concatenate(x)) if x else np.zeros(0, np.int32) for x in (words, grams))
+
+    found = [occurring(a, b) for a, b in zip(parts.bounds[:-1], parts.bounds[1:], strict=True)]
     fold = np.array([zlib.crc32(t[:64].encode("utf-8", "replace")) % FOLDS for t in texts])
     by_fold = {(k, c): _counts([found[i] for i in np.flatnonzero((fold == k) & (y == c))]) for k in range(FOLDS) for c in (0, 1)}
 
@@ -250,7 +274,7 @@ def fit(texts: list[str], labels: list[int], *, steps: int = 400, seed: int = 1)
     codes, text = windows(parts)
     x = np.empty((len(codes), WINDOW, len(PAD_FEATURES)), np.float32)
     for k in range(FOLDS):
-        table = np.concatenate([word_inputs(parts.words, *odds([j for j in range(FOLDS) if j != k])), np.array([PAD_FEATURES], np.float32)])
+        table = word_inputs(lots, *odds([j for j in range(FOLDS) if j != k]))
         own = fold[text] == k
         x[own] = table[codes[own]]
     network, r = Network(len(PAD_FEATURES), seed=seed), np.random.default_rng(seed)
@@ -301,8 +325,16 @@ def learned(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
     parts = [known.filter(F.col("label") == c).join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
     # 4,000 ids at most: a bound that doesn't grow
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    sample = rows.join(chosen, "doc_id").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return fit(sample["text"].tolist(), sample["label"].astype(int).tolist())
+    sample = rows.join(chosen, "doc_id").dropDuplicates(["doc_id"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The sample has a fixed size, so one task fits the model; the driver only passes it on."""
+        own = pd.concat([*batches, pd.DataFrame({"doc_id": [], "text": [], "label": []})]).sort_values("doc_id")
+        yield pd.DataFrame({"model": [pickle.dumps(fit(own["text"].tolist(), own["label"].astype(int).tolist()))]})
+        trim()
+
+    made = sample.repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(made["model"]) if made else fit([], [])
 
 
 def held_out(doc_id: Column, of: int = 5) -> Column:
