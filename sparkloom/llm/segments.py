@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,3 +117,11 @@ def slices(batches, column: int = 1, most_bytes: int = 24 << 20):
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back: workers stay for further tasks, and what they hold counts beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
