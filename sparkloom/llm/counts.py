@@ -105,7 +105,7 @@ class Unigram:
         """One long word: pieces at all places are looked up at once, then one pass."""
         n = points.size
         hashes = np.zeros((self.longest + 1, n), np.uint64)
-        for size in range(1, self.longest + 1):
+        for size in range(1, min(self.longest, n) + 1):
             hashes[size, : n - size + 1] = hashes[size - 1, : n - size + 1] * np.uint64(BASE) + (points[size - 1 :].astype(np.uint64) + np.uint64(1))
         ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
         for size in range(self.longest, 0, -1):
