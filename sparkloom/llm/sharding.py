@@ -49,7 +49,8 @@ def interleaved_shards(
     """Deal rows to `n_shards` shards whose row counts are at most one apart and whose mixture of sources is that of the table.
 
     The rows of each source are shuffled by a seeded hash of the id and ranked; rank k of n stands at the fraction
-    (k + 1/2) / n; all rows are sorted by that fraction and the sequence is cut into equal runs.
+    (k + u) / n, u in 0..1 being the source's own, or else sources of equal size would come in bursts; all rows are
+    sorted by that fraction and the sequence is cut into equal runs.
 
     Returns doc_id, source, size (UTF-8 bytes of the text plus `overhead`), text_crc32, law ('rows'), shard,
     slot (from 0 in each shard, without gaps) and grown_shard (null under this law).
@@ -72,8 +73,9 @@ def interleaved_shards(
     total = rows.count()
     groups = max(4 * partitions(spark), -(-total // GROUP_ROWS))
     tie = [F.col(c) for c in ("key", "doc_id", "size", "text_crc32")]
+    phase = F.pmod(F.xxhash64(F.lit(seed), F.col("stratum")), F.lit(1 << 20)) / float(1 << 20)
     ranked = _positions(rows, ["stratum"], "point", tie, groups)
-    ranked = ranked.select("doc_id", "source", "size", "text_crc32", "stratum", "key", ((F.col("rank") + 0.5) / F.col("stratum_rows")).alias("fraction"))
+    ranked = ranked.select("doc_id", "source", "size", "text_crc32", "stratum", "key", ((F.col("rank") + phase) / F.col("stratum_rows")).alias("fraction"))
     ranked = stored(ranked, "shards-ranked").withColumn("whole", F.lit(0))
     placed = _positions(ranked, ["whole"], "fraction", [F.col("fraction"), F.col("stratum"), *tie], groups)
     n = max(total, 1)

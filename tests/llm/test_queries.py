@@ -1,0 +1,46 @@
+"""The registered queries give what their contracts and SQL say; the pipeline's stages do what they are for."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from sparkloom.llm.queries import ORACLE_SQL, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plain(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    con = duckdb.connect()
+    for f in glob.glob(f"{FOLDER}/*.parquet"):
+        con.sql(f"create view {os.path.basename(f)[:-8]} as from '{f}'")
+    told = con.sql(ORACLE_SQL[name])
+    made = QUERIES[name](spark, FOLDER).select(*told.columns)
+    assert plain(made.collect()) == plain(told.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
+def test_every_row_of_the_table_is_there(spark, name):
+    made = QUERIES[name](spark, FOLDER)
+    assert made.select("doc_id").distinct().count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
+def test_the_stages_take_effect(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, before, "/root/testdata/sf0.01").cache()
+        if name in ("toxicity", "jaccard"):
+            assert made.columns == docs.columns and 0 < made.count() < before.count()
+        if name == "pii":
+            assert made.columns == docs.columns and made.count() == before.count() and made.filter("text rlike '[a-z0-9.]+@[a-z0-9]+[.]'").count() == 0
+        if name == "packing":
+            assert made.select("doc_id").distinct().count() == before.count()
+        before = made
