@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from .common import id_text, partitions, stored
-from .segments import slices, text_array
+from .segments import slices, text_array, trim
 from .shingles import mixed, shingle_sets
 
 #: Share of all hashes whose shingles are compared across documents at first.
@@ -22,6 +22,10 @@ BUCKET_BYTES = 24 << 20
 ROUNDS = 3
 #: Documents of a leaf; of a group that one task takes.
 LEAF, BLOCK = 32, 2000
+#: Rows of ids and keys up to which a table is broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 300_000
+#: Bytes of text that are taken at once.
+SLICE = 8 << 20
 #: Bits of a signature at most.
 WIDEST = 1 << 14
 
@@ -144,7 +148,7 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, two hashes of the set, and how many of its shingles are within SHARE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most_bytes=SLICE):
             sets = shingle_sets(text_array(batch.column(1)), width)
             keys = np.array([_key(s) for s in sets], np.int64).reshape(-1, 2)
             yield pa.record_batch([batch.column(0), pa.array([s.size for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([int(np.searchsorted(s, LIMIT)) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "key", "key2", "shared_part"])
@@ -169,7 +173,7 @@ def _repeated(docs: DataFrame, width: int, buckets: int) -> DataFrame:
     """
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most_bytes=SLICE):
             own = {}
             for s in shingle_sets(text_array(batch.column(1)), width):
                 if s.size:
@@ -219,31 +223,37 @@ def _repeated(docs: DataFrame, width: int, buckets: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
-    """class_id, set (bytes) and its least hashes under ROUNDS permutations, for the documents chosen."""
+    """class_id, set (bytes), its size, how much of it is within SHARE, and its least hashes under ROUNDS permutations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most_bytes=SLICE):
             sets = shingle_sets(text_array(batch.column(1)), width)
             keys = np.array([_key(s) for s in sets], np.int64).reshape(-1, 2)
             least = [np.array([_salted(s, k).min() if s.size else 0 for s in sets], np.uint64).view(np.int64) for k in range(ROUNDS)]
-            yield pa.record_batch([batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([s.tobytes() for s in sets], pa.binary()), *map(pa.array, least)], names=names)
+            yield pa.record_batch([batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([s.size for s in sets], pa.int64()), pa.array([int(np.searchsorted(s, LIMIT)) for s in sets], pa.int64()), *map(pa.array, least)], names=names)
 
-    names = ["class_id", "key", "key2", "set", *(f"least_{k}" for k in range(ROUNDS))]
+    names = ["class_id", "key", "key2", "set", "n", "within", *(f"least_{k}" for k in range(ROUNDS))]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.join(chosen.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-    made = rows.mapInArrow(run, f"class_id {kind}, key long, key2 long, set binary, " + ", ".join(f"least_{k} long" for k in range(ROUNDS)))
-    return made.join(chosen.select("class_id", "key", "key2"), ["class_id", "key", "key2"], "left_semi").dropDuplicates(["class_id"]).drop("key", "key2")
+    rows = docs.join(_small(chosen.select(F.col("class_id").alias("doc_id"))), "doc_id", "left_semi")
+    made = rows.mapInArrow(run, f"class_id {kind}, key long, key2 long, set binary, n long, within long, " + ", ".join(f"least_{k} long" for k in range(ROUNDS)))
+    return made.join(_small(chosen.select("class_id", "key", "key2")), ["class_id", "key", "key2"], "left_semi").dropDuplicates(["class_id"]).drop("key", "key2")
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Broadcast where the rows (of a few numbers each) are few enough; they have been stored, so counting is cheap."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 def _merged(rows: DataFrame, keyed: DataFrame, parts: DataFrame, percent: int, *, exact: bool) -> DataFrame:
     """parts (class_id, part) after the links within groups of equal keys.
 
-    Only keys with several components are looked at. A group of more than BLOCK sets is dealt to blocks by a hash; all
+    Only keys with several components are looked at, and one of those with the same sets. A group of more than BLOCK sets is dealt to blocks by a hash; all
     pairs of blocks are compared if `exact`, else each block alone.
     """
     own = keyed.join(parts, "class_id")
-    groups = own.groupBy("group_key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"))
-    groups = groups.filter("a <> b").select("group_key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = [F.bit_xor(F.xxhash64("class_id", F.lit(k))).alias(f"members_{k}") for k in (0, 1)]
+    groups = own.groupBy("group_key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"), *members).filter("a <> b")
+    groups = groups.groupBy("n", "members_0", "members_1").agg(F.min("group_key").alias("group_key")).select("group_key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = own.join(groups, "group_key").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
     if exact:
         others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
@@ -252,39 +262,61 @@ def _merged(rows: DataFrame, keyed: DataFrame, parts: DataFrame, percent: int, *
         dealt = dealt.withColumn("pair", F.struct(F.col("block").alias("x"), F.col("block").alias("y")))
     dealt = dealt.select("class_id", "part", "group_key", "pair.x", "pair.y", F.when(F.col("pair.x") == F.col("pair.y"), 2).otherwise((F.col("block") == F.col("pair.y")).cast("int")).alias("side"))
 
+    dealt = stored(dealt, "jaccard-dealt")
+
     def link(t: pa.Table) -> pa.Table:
         sets = [np.frombuffer(x, np.uint64) for x in t["set"].to_pylist()]
         edges = tree_links(sets, t["part"].to_numpy(), t["side"].to_numpy(), percent)
         return pa.table({"src": pa.array([a for a, _ in edges], pa.int64()), "dst": pa.array([b for _, b in edges], pa.int64())})
 
-    edges = dealt.join(rows.select("class_id", "set"), "class_id").groupBy("group_key", "x", "y").applyInArrow(link, "src long, dst long")
+    edges = rows.select("class_id", "set").join(_small(dealt), "class_id").groupBy("group_key", "x", "y").applyInArrow(link, "src long, dst long")
     edges = stored(edges, "jaccard-edges")
     joined = connected_components(edges, lambda x: stored(x, "jaccard-parts"))
     return stored(parts.join(joined.withColumnRenamed("node", "part"), "part", "left").select("class_id", F.coalesce("component", "part").alias("part")), "jaccard-parts")
 
 
-def _prefixes(rows: DataFrame, percent: int) -> DataFrame:
-    """class_id and group_key of the shingles that decide: of n, the rarest n - ceil(percent * n / 100) + 1, but for those of one set.
+def _tokens(rows: DataFrame, *, within: bool) -> DataFrame:
+    """class_id, part and token of all shingles, or of those within SHARE."""
 
-    Two sets that link share one of these at least, whatever order all sets follow; here it is by how many sets have a
-    shingle, then by its hash.
-    """
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-            for a in range(0, len(sets), 256):
-                part = sets[a : a + 256]
-                sizes = np.array([s.size for s in part], np.int64)
-                yield pa.record_batch([batch.column(0).slice(a, len(part)).take(pa.array(np.repeat(np.arange(len(part)), sizes))), pa.array(np.concatenate(part)), pa.array(np.repeat(sizes, sizes))], names=["class_id", "token", "n"])
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
+            for a in range(0, len(sets), 64):
+                part = [s[: np.searchsorted(s, LIMIT)] if within else s for s in sets[a : a + 64]]
+                at = pa.array(np.repeat(np.arange(a, a + len(part)), [s.size for s in part]))
+                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(part).view(np.int64))], names=["class_id", "part", "token"])
+        trim()
 
-    # a shingle that only one set has, leads no one anywhere; but it takes its place in the order
-    every = rows.select("class_id", "set").mapInArrow(tokens, "class_id long, token long, n long")
-    often = every.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
-    shared = stored(every.join(often, "token").select("class_id", "token", "n", "often"), "jaccard-shared")
-    have = shared.groupBy("class_id").agg(F.first("n").alias("n"), F.count("*").alias("shared"), F.array_sort(F.collect_list(F.struct("often", "token"))).alias("tokens"))
-    left = F.expr(f"cast(n - (({percent} * n + 99) div 100) + 1 - (n - shared) as int)")
-    return have.withColumn("left", left).filter("left > 0").select("class_id", F.explode(F.slice("tokens", 1, F.col("left"))).alias("t")).select("class_id", F.col("t.token").alias("group_key"))
+    return rows.select("class_id", "part", "set").mapInArrow(run, "class_id long, part long, token long")
+
+
+def _across(tokens: DataFrame) -> DataFrame:
+    """token and often, of those that occur in several components."""
+    often = tokens.groupBy("token").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("often"))
+    return often.filter("a <> b").select("token", "often")
+
+
+def _prefixes(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """class_id and group_key of the shingles that decide.
+
+    Two sets that link share one of the first n - ceil(percent * n / 100) + 1 shingles of each, whatever order all sets
+    follow. Here, those that occur in one component alone come first (they lead to no other, but take their places),
+    then the others by how often they occur, then by hash. Sets of two components that link lack few shingles of each
+    other, and all they share occur in both: so a set with too many that occur in its own component alone is left out
+    before, by its shingles within SHARE.
+    """
+    lacking = f"(n - ({percent} * n + 99) div 100)"
+    own = rows.join(_small(parts), "class_id")
+    some = _tokens(own, within=True)
+    hits = some.join(_across(some).select("token"), "token").groupBy("class_id").agg(F.count("*").alias("hits"))
+    kept = own.select("class_id", "n", "within").join(hits, "class_id", "left").filter(f"coalesce(hits, 0) >= within - {lacking}")
+    kept = stored(kept.select("class_id"), "jaccard-kept")
+    every = stored(_tokens(own.join(_small(kept), "class_id"), within=False), "jaccard-tokens")
+    shared = every.join(_across(every), "token")
+    have = shared.groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("tokens")).join(rows.select("class_id", "n"), "class_id")
+    left = F.expr(f"cast({lacking} + 1 - (n - size(tokens)) as int)")
+    first = have.withColumn("left", left).filter("left > 0").select("class_id", F.explode(F.slice("tokens", 1, F.col("left"))).alias("t"))
+    return stored(first.select("class_id", F.col("t.token").alias("group_key")), "jaccard-prefixes")
 
 
 def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -315,7 +347,7 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id
     parts = rows.select("class_id", F.col("class_id").alias("part"))
     for k in range(ROUNDS):
         parts = _merged(rows, rows.select("class_id", F.col(f"least_{k}").alias("group_key")), parts, percent, exact=False)
-    parts = _merged(rows, stored(_prefixes(rows, percent), "jaccard-prefixes"), parts, percent, exact=True)
+    parts = _merged(rows, _prefixes(rows, parts, percent), parts, percent, exact=True)
     # ids that several sets share join those sets' components
     of_class = known.join(classes.select("key", "key2", "class_id"), ["key", "key2"], "left").join(parts, "class_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("part", "class_id", "doc_id"))
