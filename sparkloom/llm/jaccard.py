@@ -271,6 +271,8 @@ def _merged(rows: DataFrame, keyed: DataFrame, parts: DataFrame, percent: int, *
 
     edges = rows.select("class_id", "set").join(_small(dealt), "class_id").groupBy("group_key", "x", "y").applyInArrow(link, "src long, dst long")
     edges = stored(edges, "jaccard-edges")
+    if edges.isEmpty():
+        return parts
     joined = connected_components(edges, lambda x: stored(x, "jaccard-parts"))
     return stored(parts.join(joined.withColumnRenamed("node", "part"), "part", "left").select("class_id", F.coalesce("component", "part").alias("part")), "jaccard-parts")
 
@@ -344,7 +346,7 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id
     chosen = classes.join(_repeated(texts, width, buckets), "key", "left").filter(F.coalesce("repeated", F.lit(0)) >= F.col("part") - lacking)
     chosen = stored(chosen.select("class_id", "key", "key2"), "jaccard-chosen")
     rows = stored(_sets(texts, chosen, width), "jaccard-sets")
-    parts = rows.select("class_id", F.col("class_id").alias("part"))
+    parts = stored(rows.select("class_id", F.col("class_id").alias("part")), "jaccard-parts")
     for k in range(ROUNDS):
         parts = _merged(rows, rows.select("class_id", F.col(f"least_{k}").alias("group_key")), parts, percent, exact=False)
     parts = _merged(rows, _prefixes(rows, parts, percent), parts, percent, exact=True)

@@ -72,6 +72,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard": """
+        with recursive w as (
+            select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws
+            from documents
+        ),
+        s as (
+            select doc_id, list_distinct(case when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' '))
+                                              when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh
+            from w
+        ),
+        u as (select doc_id, len(sh) as n, unnest(sh) as t from s),
+        l as (
+            select a.doc_id as a, b.doc_id as b from u a join u b on a.t = b.t and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id having 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ),
+        reach(node, other) as (
+            select doc_id, doc_id from documents
+            union
+            select reach.node, l.b from reach join l on reach.other = l.a
+        ),
+        c as (select node, min(other) as component_id from reach group by 1)
+        select doc_id, cast(len(sh) as bigint) as n_shingles, component_id from s join c on doc_id = node
+    """,
     "op2_top_k": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
