@@ -36,9 +36,11 @@ def hashed_vector(text: Column, width: int = 16) -> Column:
     """A deterministic encoder: counts of words by hash, scaled to unit length; zeros without words."""
     words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
     places = F.transform(words, lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 4), 16, 10).cast("int") % width)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.size(F.filter(places, lambda p: p == k)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda t, x: t + x * x))
-    return F.when(F.size(words) > 0, F.transform(counts, lambda x: (x / norm).cast("float"))).otherwise(F.array_repeat(F.lit(0.0).cast("float"), width))
+    # one-element transforms bind a value that the lambda inside would make again for each element
+    bound = lambda value, f: F.transform(F.array(value), f)[0]
+    counted = lambda own: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.size(F.filter(own, lambda p: p == k)).cast("double"))
+    scaled = lambda c: bound(F.sqrt(F.aggregate(c, F.lit(0.0), lambda t, x: t + x * x)), lambda norm: F.transform(c, lambda x: (x / norm).cast("float")))
+    return F.when(F.size(words) > 0, bound(bound(places, counted), scaled)).otherwise(F.array_repeat(F.lit(0.0).cast("float"), width))
 
 
 def character_budget(max_tokens: int, chars_per_word: float, tokens_per_word: float) -> int:
