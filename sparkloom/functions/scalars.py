@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Suffixes of images, and those that make up each kind of file.
-IMAGE_SUFFIXES = [".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tif", ".tiff", ".pdf"]
+# Suffixes of images in scans, and those that make up each kind of file.
+IMAGE_SUFFIXES = [".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff", ".webp", ".pdf"]
 KIND_SUFFIXES = {
-    "images": [".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tif", ".tiff", ".gif"],
+    "images": [".jpg", ".jpeg", ".png", ".tif", ".tiff", ".bmp", ".webp", ".gif", ".heic"],
     "pdfs": [".pdf"],
-    "docs": [".doc", ".docx", ".txt", ".rtf", ".odt", ".md", ".html", ".htm", ".xls", ".xlsx", ".ppt", ".pptx", ".csv"],
+    "docs": [".txt", ".csv", ".tsv", ".json", ".xml", ".html", ".md", ".rtf", ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx"],
 }
 ARCHIVE_PATTERN = r"(\.zip|\.7z|\.rar|\.tar|\.tgz|\.tbz|\.tbz2|\.txz|\.tar\.gz|\.tar\.bz2|\.tar\.xz)$"
 OUTPUT_FORMATS = {".jpg": "jpeg", ".jpeg": "jpeg", ".png": "png", ".webp": "webp", ".tif": "tiff", ".tiff": "tiff"}
@@ -59,8 +59,8 @@ def safe_relative(root: str, path: Column) -> Column:
 
 
 def download_name(url: Column) -> Column:
-    """Last segment of the path without its query, or download.bin, with ten hex digits of the URL's digest."""
-    last = F.regexp_extract(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", ""), r"([^/]*)$", 1)
+    """Last segment before the query, or download.bin, with ten hex digits of the URL's digest."""
+    last = F.trim(F.regexp_extract(F.regexp_replace(F.substring_index(url, "?", 1), r"/+$", ""), r"([^/]*)$", 1))
     return F.concat(F.when(last == "", "download.bin").otherwise(last), F.lit("__"), F.substring(F.sha1(url), 1, 10))
 
 
@@ -93,7 +93,7 @@ def run_status(pending: Column, processing: Column, error: Column) -> Column:
 
 
 def colour(value: Column, green: float, yellow: float) -> Column:
-    return F.when(value <= green, "green").when(value <= yellow, "yellow").otherwise("red")
+    return F.when(value < green, "green").when(value < yellow, "yellow").otherwise("red")
 
 
 def word_count(text: Column) -> Column:

@@ -92,6 +92,26 @@ def suggested_concurrency(current: Column, p95: Column, target: float, lo: int,
     return F.greatest(F.lit(lo), F.least(F.lit(hi), moved)).cast("int")
 
 
-def tuned(p95: Column, error_rate: Column, samples: Column, *, target: float, most_errors: float, warm: int) -> Column:
-    """'hold' while warming up, 'down' if slow or failing, 'up' if fast and healthy, else 'hold'."""
-    return F.when(samples < warm, "hold").when((error_rate > most_errors) | (p95 > 1.10 * target), "down").when((p95 < 0.85 * target) & (error_rate <= most_errors / 2), "up").otherwise("hold")
+def tuned(p95: Column, error_percent: Column, batches: Column, *, target: float, most_errors: float, warm: int, first_token: tuple[Column, float] | None = None, tokens: tuple[Column, float] | None = None) -> Column:
+    """'warmup', 'scale_down' (failing or slow), 'scale_up' (fast and healthy) or 'hold'.
+
+    first_token: the time to the first token and its target; tokens: the rate of tokens and the least one. Nulls of
+    either say nothing.
+    """
+    slow, fast = p95 > 1.10 * target, p95 < 0.85 * target
+    if first_token is not None:
+        slow = slow | F.coalesce(first_token[0] > 1.10 * first_token[1], F.lit(False))
+        fast = fast & F.coalesce(first_token[0] < 0.85 * first_token[1], F.lit(True))
+    if tokens is not None:
+        fast = fast & F.coalesce(tokens[0] >= tokens[1], F.lit(True))
+    return F.when(batches < warm, "warmup").when((error_percent > most_errors) | slow, "scale_down").when(fast, "scale_up").otherwise("hold")
+
+
+def tuned_sizes(decision: Column, inflight: Column, batch: Column, *, step: int, batch_step: int, bounds: tuple[int, int], batch_bounds: tuple[int, int]) -> Column:
+    """struct(inflight, batch) after a decision, within bounds; a batch is never smaller than what is in flight."""
+    way = F.when(decision == "scale_up", 1).when(decision == "scale_down", -1).otherwise(0)
+    held = decision == "warmup"
+    clamp = lambda x, lo, hi: F.greatest(F.lit(lo), F.least(F.lit(hi), x))
+    n = F.when(held, inflight).otherwise(clamp(inflight + step * way, *bounds))
+    m = F.when(held, batch).otherwise(F.greatest(clamp(batch + batch_step * way, *batch_bounds), n))
+    return F.struct(n.cast("int").alias("inflight"), m.cast("int").alias("batch"))

@@ -356,14 +356,18 @@ def sparkline(t):
 
 
 @query("tuning", """
-    with m as (select user_id, quantile_disc(value, 0.95) as p95, 1.0 * count(*) filter (event_type = 'error') / count(*) as er, count(*) as n from events group by 1)
-    select user_id, cast(greatest(8, least(256, case when p95 < 0.85 * 100 then 32 + 4 when p95 > 1.10 * 100 then 32 - 4 else 32 end)) as integer) as concurrency,
-           case when n < 5 then 'hold' when er > 0.3 or p95 > 1.10 * 100 then 'down' when p95 < 0.85 * 100 and er <= 0.3 / 2 then 'up' else 'hold' end as decision,
-           case when p95 <= 50 then 'green' when p95 <= 150 then 'yellow' else 'red' end as colour from m""")
+    with m as (select user_id, quantile_disc(value, 0.95) as p95, 100.0 * count(*) filter (event_type = 'error') / count(*) as er, count(*) as n from events group by 1),
+    d as (select *, case when n < 5 then 'warmup' when er > 30 or p95 > 1.10 * 100 then 'scale_down' when p95 < 0.85 * 100 then 'scale_up' else 'hold' end as decision from m),
+    s as (select *, case decision when 'scale_up' then 1 when 'scale_down' then -1 else 0 end as way from d)
+    select user_id, cast(greatest(8, least(256, case when p95 < 0.85 * 100 then 32 + 4 when p95 > 1.10 * 100 then 32 - 4 else 32 end)) as integer) as concurrency, decision,
+           cast(case when decision = 'warmup' then 32 else greatest(8, least(256, 32 + 4 * way)) end as integer) as inflight,
+           cast(case when decision = 'warmup' then 64 else greatest(greatest(32, least(128, 64 + 16 * way)), greatest(8, least(256, 32 + 4 * way))) end as integer) as batch,
+           case when p95 < 50 then 'green' when p95 < 150 then 'yellow' else 'red' end as colour from s""")
 def tuning(t):
     m = measures.percentiles(t.events, ["user_id"], "value", [95]).join(measures.rates(t.events.withColumn("is_error", F.col("event_type") == "error"), ["user_id"]), "user_id")
-    p95 = F.col("p95")
-    return m.select("user_id", measures.suggested_concurrency(F.lit(32), p95, 100.0, 8, 256).alias("concurrency"), measures.tuned(p95, F.col("error_percent") / 100, F.col("n"), target=100.0, most_errors=0.3, warm=5).alias("decision"), S.colour(p95, 50, 150).alias("colour"))
+    m = m.withColumn("decision", measures.tuned(F.col("p95"), F.col("error_percent"), F.col("n"), target=100.0, most_errors=30.0, warm=5))
+    sizes = measures.tuned_sizes(F.col("decision"), F.lit(32), F.lit(64), step=4, batch_step=16, bounds=(8, 256), batch_bounds=(32, 128))
+    return m.select("user_id", measures.suggested_concurrency(F.lit(32), F.col("p95"), 100.0, 8, 256).alias("concurrency"), "decision", sizes["inflight"].alias("inflight"), sizes["batch"].alias("batch"), S.colour(F.col("p95"), 50, 150).alias("colour"))
 
 
 # --- labels ----------------------------------------------------------------------------------------------------------
@@ -542,8 +546,7 @@ def output_formats(t):
 
 
 @query("download_names", """
-    select page_id, case when regexp_replace(regexp_replace(url, '[?#].*$', ''), '^.*/', '') = '' or not contains(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://', ''), '/')
-           then 'download.bin' else regexp_replace(regexp_replace(url, '[?#].*$', ''), '^.*/', '') end || '__' || substr(sha1(url), 1, 10) as name from pages""")
+    select page_id, coalesce(nullif(regexp_extract(regexp_replace(split_part(url, '?', 1), '/+$', ''), '([^/]*)$', 1), ''), 'download.bin') || '__' || substr(sha1(url), 1, 10) as name from pages""")
 def download_names(t):
     return t.pages.select("page_id", S.download_name(F.col("url")).alias("name"))
 

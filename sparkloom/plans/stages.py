@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 # The stages in order, and which one needs which.
 STAGES = ["ingest", "preprocess", "label", "train", "evaluate", "predict", "chunk", "embed", "enrich"]
-NEEDS = [("ingest", "preprocess"), ("preprocess", "label"), ("label", "train"), ("train", "evaluate"), ("train", "predict"), ("label", "chunk"), ("chunk", "embed"), ("label", "enrich"), ("evaluate", "predict")]
+NEEDS = [("ingest", "preprocess"), ("preprocess", "label"), ("label", "train"), ("train", "evaluate"), ("train", "predict"), ("evaluate", "predict"), ("predict", "chunk"), ("chunk", "embed"), ("embed", "enrich")]
 
 
 def picked(wanted: list[str] | None) -> list[str]:

@@ -158,7 +158,7 @@ def test_urls(spark, tmp_path):
     (tmp_path / "v.csv").write_text("http://a,1\nhttp://b,2\n")
     assert files.url_table(spark, str(tmp_path / "v.csv")).count() == 2
     assert one(spark, S.download_name(F.col("u")), u="http://h/p/file.zip?x=1").startswith("file.zip__")
-    assert one(spark, S.download_name(F.col("u")), u="http://h").startswith("download.bin__")
+    assert one(spark, S.download_name(F.col("u")), u="http://h/").startswith("h__") and one(spark, S.download_name(F.col("u")), u="?a").startswith("download.bin__")
 
 
 def test_archives(spark):
