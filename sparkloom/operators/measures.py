@@ -51,6 +51,18 @@ def rates(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def token_rates(rows: DataFrame, keys: list[str], *, wall_seconds: float) -> DataFrame:
+    """Tokens a second of (completion_tokens, generation_s) rows: over the time of generation if it is known, else over
+    the wall; null without tokens."""
+    tokens, spent = F.sum("completion_tokens"), F.sum("generation_s")
+    return rows.groupBy(*keys).agg(F.when(tokens > 0, tokens / F.when(spent > 0, spent).otherwise(F.lit(max(wall_seconds, 1e-9)))).alias("tokens_per_second"))
+
+
+def batch_efficiency(batches: DataFrame) -> DataFrame:
+    """One row: mean fill in percent of (actual, size) batches; 0 without any."""
+    return batches.filter("size > 0").agg(F.coalesce(F.avg(100.0 * F.col("actual") / F.col("size")), F.lit(0.0)).alias("batch_efficiency"))
+
+
 def last_n(rows: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     return rows.withColumn("n_", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("n_") <= n).drop("n_")
 

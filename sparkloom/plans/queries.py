@@ -327,6 +327,19 @@ def run_rates(t):
     return measures.rates(t.events.withColumn("is_error", F.col("event_type") == "error"), ["user_id"])
 
 
+@query("token_rates", """
+    select event_type, case when sum(event_id % 50) > 0 then sum(event_id % 50) / case when sum(case when event_id % 2 = 0 then value else 0 end) > 0 then sum(case when event_id % 2 = 0 then value else 0 end) else 60 end end as tokens_per_second
+    from events group by 1""")
+def token_rates(t):
+    rows = t.events.select("event_type", (F.col("event_id") % 50).alias("completion_tokens"), F.when(F.col("event_id") % 2 == 0, F.col("value")).otherwise(0.0).alias("generation_s"))
+    return measures.token_rates(rows, ["event_type"], wall_seconds=60.0)
+
+
+@query("batch_efficiency", "select avg(100.0 * (event_id % 9) / 8) as batch_efficiency from events")
+def batch_efficiency(t):
+    return measures.batch_efficiency(t.events.select((F.col("event_id") % 9).alias("actual"), F.lit(8).alias("size")))
+
+
 @query("last_samples", "select event_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n <= 3")
 def last_samples(t):
     return measures.last_n(t.events, ["user_id"], [F.desc("ts"), F.desc("event_id")], 3).select("event_id")

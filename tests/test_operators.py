@@ -40,6 +40,13 @@ def test_percentiles_and_medians(spark):
     assert measures.upper_median(three, ["k"], "v").first()["upper_median"] == 20.0
 
 
+def test_rates(spark):
+    fills = spark.createDataFrame([(5, 10), (8, 10), (1, 0)], "actual int, size int")
+    assert measures.batch_efficiency(fills).first()[0] == 65.0 and measures.batch_efficiency(fills.limit(0)).first()[0] == 0.0
+    made = spark.createDataFrame([("a", 100, 10.0), ("b", 0, 3.0), ("c", 30, 0.0)], "k string, completion_tokens long, generation_s double")
+    assert {r["k"]: r["tokens_per_second"] for r in measures.token_rates(made, ["k"], wall_seconds=60).collect()} == {"a": 10.0, "b": None, "c": 0.5}
+
+
 def test_histogram(spark):
     same = spark.createDataFrame([(100.0,)] * 3, "v double")
     assert [(r["bin"], r["low"], r["n"]) for r in measures.histogram(same, "v", 5).collect()] == [(0, 100.0, 3)]
