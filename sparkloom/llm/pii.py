@@ -29,6 +29,21 @@ NEEDS = {
 }
 #: Words that may be identifiers: with a digit, six characters at least.
 CANDIDATE = r"(?<![A-Za-z_-])[A-Za-z_-]{0,40}+[0-9][A-Za-z0-9_.-]{4,80}[A-Za-z0-9]"
+#: Other forms of each kind that the base patterns refuse: a host without dots or spelt-out signs, groups of hexadecimal
+#: digits, cards and phones with separators. What a text must hold for each.
+FORMS = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]++(?:(?:\.| ?[(\[]dot[)\]] ?)[A-Za-z0-9-]++)*+",
+    "ip": r"(?<![A-Za-z0-9.:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![A-Za-z0-9:])",
+    "card": r"(?<![0-9])[0-9]{2,6}(?:[ .-][0-9]{2,6}){2,7}(?![0-9])",
+    "phone": r"(?<![0-9+(])\+?\(?[0-9]{1,5}\)?(?:[ ./-]{1,2}\(?[0-9]{1,5}\)?){1,6}(?![0-9])",
+}
+FORM_NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": "[0-9A-Fa-f]:[0-9A-Fa-f:]", "card": "[0-9][ .-][0-9]", "phone": r"[0-9]\)?[ ./-]"}
+#: Contexts up to which they are broadcast against the words of all texts; more are joined by a shuffle.
+BROADCAST_ROWS = 300_000
+#: Texts whose hash is a multiple of these are looked at in turn; a context that has too many words in some has too many.
+SOME = (64, 8, 1)
+#: Characters of the word after a context that are compared.
+FOLLOWING = 80
 #: So many spans share one partial sum, so that places are found in about linear time.
 BLOCK = 128
 #: Characters before a match in which its context is sought.
@@ -52,8 +67,9 @@ def _spans(cut: str) -> str:
     begins = "aggregate(sums, array(0), (t, x) -> array_append(t, element_at(t, -1) + x))"
     place = f"""begins[i div {BLOCK}] + aggregate(slice(steps, (i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK}), 0, (t, x) -> t + x)
                 + char_length({cut}.gaps[i])"""
+    after = f"left(regexp_extract({cut}.matches[i] || left({cut}.gaps[i + 1], {FOLLOWING}), '^\\\\S+', 0), {FOLLOWING})"
     span = f"""named_struct('start', start, 'end', start + char_length({cut}.matches[i]), 'value', {cut}.matches[i],
-               'context', trim(lower(regexp_extract(right({cut}.gaps[i], {CONTEXT}), '(\\\\S+)\\\\s*$', 1))))"""
+               'context', trim(lower(regexp_extract(right({cut}.gaps[i], {CONTEXT}), '(\\\\S+)\\\\s*$', 1))), 'after', lower({after}))"""
     # a one-element transform binds a value for the lambda inside it
     spans = f"transform(sequence(0, size({cut}.matches) - 1), i -> transform(array({place}), start -> {span})[0])"
     bound = f"transform(array({steps}), steps -> transform(array({blocks}), sums -> transform(array({begins}), begins -> {spans})[0])[0])[0]"
@@ -77,12 +93,15 @@ KEEP = {
     "card": f"{_digits('x.value')} between 12 and 19 and {_luhn('x.value')}",
     "phone": f"{_digits('x.value')} between 9 and 15",
 }
-SPAN = "array<struct<start:int,end:int,value:string,context:string>>"
+#: The forms of a kind that may be identifiers.
+KEEP_FORM = {"email": "true", "ip": "x.value rlike '[0-9]'", "card": f"{_digits('x.value')} between 12 and 19", "phone": f"{_digits('x.value')} between 7 and 15"}
+SPAN = "array<struct<start:int,end:int,value:string,context:string,after:string>>"
+OTHER = "array<struct<start:int,end:int,value:string,context:string,after:string,of:string>>"
 
 
 def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False) -> DataFrame:
-    """doc_id, row_number_, a column of spans for each kind, and `candidates`: other words that may be identifiers;
-    with `keep_rows` also `row_`, the whole row."""
+    """doc_id, row_number_, a column of spans for each kind, and `candidates`: other words that may be identifiers,
+    of any kind where `of` is null; with `keep_rows` also `row_`, the whole row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = [F.struct(*(docs[c] for c in docs.columns)).alias("row_")] if keep_rows else []
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row_number_"), *whole)
@@ -93,21 +112,46 @@ def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     for kind in KINDS:
         rows = rows.withColumn(kind, F.expr(_spans(f"{kind}_cut")))
         rows = rows.withColumn(kind, F.expr(f"coalesce(filter({kind}, x -> {KEEP[kind]}), cast(array() as {SPAN}))"))
-    rows = rows.withColumn("candidates", F.expr(_spans("candidates_cut")))
+    for kind in KINDS:
+        rows = rows.withColumn(f"{kind}_forms_cut", F.when(F.rlike("text", F.lit(FORM_NEEDS[kind])), _located(F.col("text"), FORMS[kind])))
+    others = []
+    for name, of, keep in [("candidates", "null", "true"), *((f"{k}_forms", f"'{k}'", KEEP_FORM[k]) for k in KINDS)]:
+        rows = rows.withColumn(f"{name}_spans", F.expr(_spans(f"{name}_cut")))
+        struct = f"named_struct('start', x.start, 'end', x.end, 'value', x.value, 'context', x.context, 'after', x.after, 'of', cast({of} as string))"
+        others.append(f"transform(filter(coalesce({name}_spans, cast(array() as {SPAN})), x -> {keep}), x -> {struct})")
+    rows = rows.withColumn("candidates", F.expr(f"concat({', '.join(others)})"))
     # bound by a one-element transform, or else the optimizer would put how they are made into the inner lambda
     apart = " and ".join(f"not exists(z.{k}, b -> b.start < x.end and x.start < b.end)" for k in KINDS)
     bound = f"array(struct(candidates, {', '.join(KINDS)}))"
-    rows = rows.withColumn("candidates", F.expr(f"case when candidates is null then cast(array() as {SPAN}) else transform({bound}, z -> filter(z.candidates, x -> {apart}))[0] end"))
+    rows = rows.withColumn("candidates", F.expr(f"case when size(candidates) = 0 then cast(array() as {OTHER}) else transform({bound}, z -> filter(z.candidates, x -> {apart}))[0] end"))
     return rows.select("doc_id", "row_number_", *KINDS, "candidates", *["row_"] * keep_rows)
 
 
-def discovered(spans: DataFrame, *, rounds: int, least_seeds: int, least_confidence: float, least_patterns: int) -> DataFrame:
+def _words_after(docs: DataFrame, contexts: DataFrame, text_col: str) -> DataFrame:
+    """context and after: the distinct words, or rests of words, that stand after the given contexts in all texts."""
+    words = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+")
+    pairs = docs.select(words.alias("w")).select(F.posexplode("w").alias("i", "word"), F.get("w", F.col("i") + 1).alias("next"))
+    # a context is a word before another, or what a word begins with up to a sign
+    whole = f"array(struct(right(word, {CONTEXT - 1}) as context, next as after))"
+    begins = f"filter(sequence(1, least(length(word) - 1, {CONTEXT})), p -> substring(word, p, 1) rlike '[^\\\\p{{L}}\\\\p{{N}}_]')"
+    parts = f"transform({begins}, p -> struct(left(word, p) as context, substring(word, p + 1) as after))"
+    signs = "length(word) > 1 and word rlike '[^\\\\p{L}\\\\p{N}_].'"
+    each = pairs.select(F.explode(F.expr(f"case when {signs} then concat({whole}, {parts}) else {whole} end")).alias("x")).select("x.context", F.left("x.after", F.lit(FOLLOWING)).alias("after"))
+    few = F.broadcast(contexts) if contexts.count() <= BROADCAST_ROWS else contexts
+    return each.filter("after <> ''").join(few, "context", "left_semi").distinct()
+
+
+def discovered(
+    spans: DataFrame, docs: DataFrame, *, rounds: int, least_seeds: int, least_confidence: float, least_patterns: int, least_share: float, text_col: str = "text"
+) -> DataFrame:
     """kind and value of identifiers that reliable contexts find.
 
     A pattern is the word before a match, for one kind. Its confidence is the mean score of the distinct values that
     occur after it: 1 for those of that kind's base spans, that of the last round for others (0 at first). A value's
     score is the mean confidence of its patterns that have `least_seeds` base values. After `rounds` rounds, values that
-    score `least_confidence` and have `least_patterns` such patterns are found. Edges are distinct, so a hot context or
+    score `least_confidence` and have `least_patterns` such patterns are found. So are those of a single pattern with
+    that confidence, if it is a label: it has a letter, and of all distinct words after it in `docs`, more than
+    `least_share` are base values or candidates, so that common words are none. Edges are distinct, so a hot context or
     a value repeated in a third of all rows counts once a task before the shuffle.
     """
     parts = [spans.select(F.lit(k).alias("kind"), F.explode(k).alias("s"), F.lit(True).alias("seed")) for k in KINDS]
@@ -115,18 +159,41 @@ def discovered(spans: DataFrame, *, rounds: int, least_seeds: int, least_confide
     for part in parts[1:]:
         seeds = seeds.unionByName(part)
     edges = seeds.select("kind", "s.context", F.lower("s.value").alias("value"), "seed").filter("context <> ''").distinct()
-    others = spans.select(F.explode("candidates").alias("s")).select("s.context", F.lower("s.value").alias("value")).filter("context <> ''").distinct()
+    others = spans.select(F.explode("candidates").alias("s")).select("s.context", F.lower("s.value").alias("value"), "s.of").filter("context <> ''").distinct()
     support = edges.groupBy("kind", "context").agg(F.count("*").alias("seeds"))
     support = support.filter(F.col("seeds") >= least_seeds)
     # only contexts with enough seeds can be reliable: all else is left out of the graph
-    graph = stored(others.join(support, "context").select("kind", "context", "value", "seeds"), "pii-graph")
+    graph = others.join(support, "context").filter("of is null or of = kind").select("kind", "context", "value", "seeds").distinct()
+    graph = stored(graph, "pii-graph")
     scores = graph.select("kind", "value").distinct().withColumn("score", F.lit(0.0))
+    patterns = None
     for k in range(rounds):
         patterns = graph.join(scores, ["kind", "value"]).groupBy("kind", "context").agg(F.first("seeds").alias("seeds"), F.sum("score").alias("score"), F.count("*").alias("found"))
         patterns = patterns.select("kind", "context", ((F.col("seeds") + F.col("score")) / (F.col("seeds") + F.col("found"))).alias("confidence"))
+        patterns = stored(patterns, f"pii-patterns-{k}")
         scores = graph.join(patterns, ["kind", "context"]).groupBy("kind", "value").agg(F.avg("confidence").alias("score"), F.count("*").alias("patterns"))
         scores = stored(scores, f"pii-scores-{k}")
-    kept = scores.filter((F.col("score") >= least_confidence) & (F.col("patterns") >= least_patterns))
+    if patterns is None:
+        return scores.select("kind", "value").limit(0)
+    kept = scores.filter((F.col("score") >= least_confidence) & (F.col("patterns") >= least_patterns)).select("kind", "value", "score")
+    strong = patterns.filter((F.col("confidence") >= least_confidence) & F.col("context").rlike(r"\p{L}"))
+    contexts = stored(strong.select("context").distinct(), "pii-contexts")
+    if not contexts.isEmpty():
+        every = spans.select(F.explode(F.expr(f"concat({', '.join(f'transform({k}, x -> struct(x.context, x.value, x.after))' for k in [*KINDS, 'candidates'])})")).alias("s"))
+        every = every.select("s.context", F.lower("s.value").alias("value"), "s.after").join(contexts, "context").distinct()
+        every = stored(every, "pii-after")
+        known = stored(every.select("context", "after").distinct(), "pii-known")
+        labels = stored(every.groupBy("context").agg(F.countDistinct("value").alias("values")), "pii-labels")
+        for k in SOME:
+            some = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(k)) == 0)
+            plain = _words_after(some, labels.select("context"), text_col).join(known, ["context", "after"], "left_anti")
+            plain = plain.groupBy("context").agg(F.count("*").alias("plain"))
+            rest = labels.join(plain, "context", "left").filter(F.col("values") > least_share * (F.col("values") + F.coalesce("plain", F.lit(0))))
+            labels = stored(rest.select("context", "values"), f"pii-labels-{k}")
+            if labels.isEmpty():
+                break
+        alone = graph.join(strong.join(labels.select("context"), "context"), ["kind", "context"]).groupBy("kind", "value").agg(F.max("confidence").alias("score"))
+        kept = kept.unionByName(alone)
     best = kept.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
     return best.select("kind", "value")
 
@@ -144,6 +211,7 @@ def with_spans(
     least_seeds: int = 5,
     least_confidence: float = 0.8,
     least_patterns: int = 2,
+    least_share: float = 0.5,
     keep_rows: bool = False,
 ) -> DataFrame:
     """Find personal data in every whole text.
@@ -152,13 +220,14 @@ def with_spans(
     kind), n_added, and `all_spans` as an array, with the whole row as `row_` if `keep_rows`.
 
     Base spans are those of PATTERNS that pass KEEP. discovered() adds candidates that stand in contexts which the base
-    spans of a kind have made reliable, under that kind. A null or empty text has no spans and the digest of the empty
+    spans of a kind have made reliable, under that kind; of those that lie in each other, the longest. A null or empty text has no spans and the digest of the empty
     list. Repeated rows and null ids are kept as they are. An empty table gives an empty result. Other columns are ignored.
     """
     found = stored(base_spans(docs, id_col=id_col, text_col=text_col, keep_rows=keep_rows), "pii-spans")
-    values = stored(discovered(found, rounds=rounds, least_seeds=least_seeds, least_confidence=least_confidence, least_patterns=least_patterns), "pii-values")
-    hits = found.select("row_number_", F.explode("candidates").alias("s")).withColumn("value", F.lower("s.value")).join(values, "value")
-    added = hits.groupBy("row_number_").agg(F.collect_list(F.struct(F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))).alias("added"))
+    values = stored(discovered(found, docs, rounds=rounds, least_seeds=least_seeds, least_confidence=least_confidence, least_patterns=least_patterns, least_share=least_share, text_col=text_col), "pii-values")
+    hits = found.select("row_number_", F.explode("candidates").alias("s")).withColumn("value", F.lower("s.value")).join(values, "value").filter("s.of is null or s.of = kind")
+    added = hits.groupBy("row_number_").agg(F.collect_set(F.struct(F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))).alias("added"))
+    added = added.withColumn("added", F.expr("filter(added, x -> not exists(added, y -> y.start <= x.start and y.end >= x.end and y.end - y.start > x.end - x.start))"))
     rows = found.join(added, "row_number_", "left")
     base = "concat(" + ", ".join(f"transform({k}, x -> named_struct('start', x.start, 'place', {i}, 'end', x.end, 'kind', '{k}'))" for i, k in enumerate(KINDS)) + ")"
     more = f"transform(coalesce(added, array()), x -> named_struct('start', x.start, 'place', array_position(array({', '.join(map(repr, KINDS))}), x.kind) - 1, 'end', x.end, 'kind', x.kind))"

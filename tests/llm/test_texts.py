@@ -207,6 +207,17 @@ def test_contexts_find_unseen_identifiers(spark):
     assert made[13]["n_added"] == 0
 
 
+def test_one_label_finds_unseen_identifiers_at_the_defaults(spark):
+    texts = [f"mailto user{i}@mail.example.com then the 4111 1111 1111 1111, phone: +1 555 000 {1000 + i} or the 10.0.0.{i}" for i in range(12)]
+    texts += ["mailto member-2291-0077 then", "mailto:anna@localhost mailto anna@localhost", "phone: (555) 123-4567 here", "the 2024-06-01x and", " ".join(f"the {a}{b}" for a in "abcdefgh" for b in "aeiouyhr")]
+    made = {r["doc_id"]: r for r in pii.with_spans(frame(spark, texts)).collect()}
+    assert made[12]["spans"] == "email:7:23" and made[12]["n_added"] == 1
+    assert made[13]["n_added"] == 2 and made[13]["n_email"] == 0
+    assert made[14]["spans"] == "phone:7:21" and made[14]["n_phone"] == 0
+    # a common word is no label, however many addresses stand after it
+    assert made[15]["n_added"] == made[16]["n_added"] == 0
+
+
 def test_redaction_keeps_all_columns(spark, odd):
     made = pii.without_personal_data(odd)
     assert made.columns == odd.columns and made.count() == odd.count()
