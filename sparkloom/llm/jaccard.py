@@ -232,11 +232,12 @@ def _sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
             least = [np.array([_salted(s, k).min() if s.size else 0 for s in sets], np.uint64).view(np.int64) for k in range(ROUNDS)]
             yield pa.record_batch([batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([s.size for s in sets], pa.int64()), pa.array([int(np.searchsorted(s, LIMIT)) for s in sets], pa.int64()), *map(pa.array, least)], names=names)
 
-    names = ["class_id", "key", "key2", "set", "n", "within", *(f"least_{k}" for k in range(ROUNDS))]
+    names = ["first_id", "key", "key2", "set", "n", "within", *(f"least_{k}" for k in range(ROUNDS))]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.join(_small(chosen.select(F.col("class_id").alias("doc_id"))), "doc_id", "left_semi")
-    made = rows.mapInArrow(run, f"class_id {kind}, key long, key2 long, set binary, n long, within long, " + ", ".join(f"least_{k} long" for k in range(ROUNDS)))
-    return made.join(_small(chosen.select("class_id", "key", "key2")), ["class_id", "key", "key2"], "left_semi").dropDuplicates(["class_id"]).drop("key", "key2")
+    rows = docs.join(_small(chosen.select(F.col("first_id").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    made = rows.mapInArrow(run, f"first_id {kind}, key long, key2 long, set binary, n long, within long, " + ", ".join(f"least_{k} long" for k in range(ROUNDS)))
+    made = made.join(_small(chosen.select("class_id", "first_id", "key", "key2")), ["first_id", "key", "key2"])
+    return made.dropDuplicates(["class_id"]).select("class_id", "set", "n", "within", *(f"least_{k}" for k in range(ROUNDS)))
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -332,39 +333,64 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id
     several components are looked at, and a tree stops below nodes that are known to be of one.
 
     A null or empty text, or one without words, has an empty set and links with nothing. Rows with a null id have
-    their n_shingles, no component, and take no part. Repeated rows are all returned; rows that share an id but not
-    the text share the component of the id's least set. An empty table gives an empty result. Other columns are ignored.
+    their n_shingles, no component, and take no part. Repeated rows are all returned; of rows that share an id but not
+    the text, each has the component of its own text. An empty table gives an empty result. Other columns are ignored.
     """
+    return _components(docs, percent, width, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """What jaccard_components() returns, the keys of the set, and `part`: a number of the component, also where two have
+    the same smallest id."""
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     known = stored(_summaries(texts, width), "jaccard-docs")
     valid = known.filter("n_shingles > 0 and doc_id is not null")
-    classes = stored(valid.groupBy("key", "key2").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("shared_part").alias("part")), "jaccard-classes")
+    classes = valid.groupBy("key", "key2").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("shared_part").alias("part"))
+    # several classes may have one smallest id; the numbers are fixed once they are stored
+    classes = stored(classes.withColumn("class_id", F.monotonically_increasing_id()), "jaccard-classes")
     load = classes.agg(F.sum("part")).first()[0] or 0
     buckets = max(partitions(spark), -(-16 * load // BUCKET_BYTES))
     lacking = F.expr(f"n - ({percent} * n + 99) div 100")
     chosen = classes.join(_repeated(texts, width, buckets), "key", "left").filter(F.coalesce("repeated", F.lit(0)) >= F.col("part") - lacking)
-    chosen = stored(chosen.select("class_id", "key", "key2"), "jaccard-chosen")
+    chosen = stored(chosen.select("class_id", "first_id", "key", "key2"), "jaccard-chosen")
     rows = stored(_sets(texts, chosen, width), "jaccard-sets")
     parts = stored(rows.select("class_id", F.col("class_id").alias("part")), "jaccard-parts")
     for k in range(ROUNDS):
         parts = _merged(rows, rows.select("class_id", F.col(f"least_{k}").alias("group_key")), parts, percent, exact=False)
     parts = _merged(rows, _prefixes(rows, parts, percent), parts, percent, exact=True)
-    # ids that several sets share join those sets' components
-    of_class = known.join(classes.select("key", "key2", "class_id"), ["key", "key2"], "left").join(parts, "class_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("part", "class_id", "doc_id"))
-    return of_class.select("doc_id", "n_shingles", component.alias("component_id"))
+    firsts = parts.join(chosen.select("class_id", "first_id"), "class_id").groupBy("part").agg(F.min("first_id").alias("least"))
+    parts = parts.join(firsts, "part")
+    of_class = known.join(classes.select("key", "key2", "class_id", "first_id"), ["key", "key2"], "left").join(parts, "class_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "first_id", "doc_id"))
+    return of_class.select("doc_id", "n_shingles", component.alias("component_id"), "key", "key2", F.coalesce("part", "class_id").alias("part"))
+
+
+def _with_keys(docs: DataFrame, width: int, text_col: str) -> DataFrame:
+    """row_ (the whole row) and the keys of its set."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row_"), docs[text_col].alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most_bytes=SLICE):
+            keys = np.array([_key(s) for s in shingle_sets(text_array(batch.column(1)), width)], np.int64).reshape(-1, 2)
+            yield pa.record_batch([batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["row_", "key", "key2"])
+
+    return rows.mapInArrow(run, f"row_ {rows.schema['row_'].dataType.simpleString()}, key long, key2 long")
 
 
 def one_of_each(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, that have the smallest id of their component; of rows that repeat an id, one.
+    """The rows, with all their columns, that have the smallest id of their component; of rows that repeat an id, one a component.
 
-    Rows with a null id stay.
+    So only rows go whose text is equal or linked to that of a row that stays, or of the component. Rows with a null id stay.
     """
-    found = stored(jaccard_components(docs, percent=percent, width=width, id_col=id_col, text_col=text_col), "jaccard-result")
+    found = stored(_components(docs, percent, width, id_col, text_col), "jaccard-result")
     gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     again = stored(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(id_col)), "jaccard-again")
     if again.isEmpty():
-        return kept
-    return kept.join(again, id_col, "left_anti").unionByName(kept.join(again, id_col, "left_semi").dropDuplicates([id_col])).select(*docs.columns)
+        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    once = docs.join(gone.unionByName(again).distinct(), id_col, "left_anti").select(*docs.columns)
+    # an id on several rows says nothing of their texts: each row is looked up by its id and its set
+    stay = found.join(again.select(F.col(id_col).alias("doc_id")), "doc_id", "left_semi").filter("component_id = doc_id").select("doc_id", "key", "key2", "part").distinct()
+    rows = _with_keys(docs.join(again, id_col, "left_semi").select(*docs.columns), width, text_col)
+    rows = rows.withColumn("doc_id", F.col("row_").getField(id_col).cast("long")).join(stay, ["doc_id", "key", "key2"]).dropDuplicates(["doc_id", "part"])
+    return once.unionByName(rows.select(*(F.col("row_").getField(c).alias(c) for c in docs.columns)))

@@ -281,6 +281,18 @@ def test_jaccard_on_odd_rows(spark, odd):
     assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept.collect()) == [-1, 0, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_an_id_on_different_texts_loses_no_link_and_no_row(spark):
+    words = [[f"{c}{i}" for i in range(60)] for c in "abcd"]
+    near = lambda w: " ".join([*w[:-1], "other"])
+    a, b, c, d = (" ".join(w) for w in words)
+    rows = [(1, a), (1, b), (2, near(words[0])), (3, near(words[1])), (4, c), (5, near(words[2])), (5, d), (6, d)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    made = jaccard.jaccard_components(table).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in made) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 5), (6, 5)]
+    kept = jaccard.one_of_each(table).collect()
+    assert sorted(tuple(r) for r in kept) == sorted([(1, a), (1, b), (4, c), (5, d)])
+
+
 # --- toxicity --------------------------------------------------------------------------------------------------------
 
 
