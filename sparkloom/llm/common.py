@@ -1,21 +1,16 @@
-"""Places in the shared folder, materialised steps, and small helpers of the operators here."""
+"""Places and files in the shared folder, materialised steps, and small helpers of the operators here."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keeping import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); where it is unset, as in tests, one of our own is set."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = tempfile.mkdtemp(prefix="sparkloom-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    return place.rstrip("/")
+__all__ = ["id_text", "new_folder", "partitions", "read_file", "shared_dir", "stored", "table", "write_file"]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -24,13 +19,33 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a step to the shared folder and read it again: later steps never recompute it, whatever executors are lost."""
+    """Write a step to the shared folder and read it again: later steps never recompute it, whatever executors are lost.
+
+    Whoever starts a run clears the folder after it: a result that hasn't been written yet may still read its steps.
+    """
     spark = df.sparkSession
     place = new_folder(spark, label)
     df.write.parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 
+def write_file(folder: str, data: bytes) -> str:
+    """Called by tasks: a new file of the shared folder under a name of its own, so that a repeated attempt never writes
+    to a file that another has named."""
+    fs, root = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(root, recursive=True)
+    name = uuid.uuid4().hex
+    with fs.open_output_stream(f"{root}/{name}", compression=None) as out:
+        out.write(data)
+    return name
+
+
+def read_file(folder: str, name: str) -> bytes:
+    fs, root = pafs.FileSystem.from_uri(folder)
+    with fs.open_input_file(f"{root}/{name}") as f:
+        return f.read()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

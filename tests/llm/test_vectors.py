@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import math
 import os
 
 import numpy as np
@@ -44,6 +45,39 @@ def test_top_k_on_odd_rows(spark):
     assert top_k.top_inner_products(vectors(spark, rows).limit(0)).count() == 0
 
 
+def test_top_k_scores_are_exact_whatever_their_size(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "SHARD_ROWS", 4)
+    for scale in (500_000.0, 1e9, 1e14):
+        r = np.random.default_rng(3)
+        rows = [(i, (r.normal(size=3) * scale).astype(np.float32)) for i in range(20)] + [(100, [scale, 1.0, 2.0]), (50, [1.0, scale, -scale])]
+        exact = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+        want = []
+        for i, q in exact:
+            if i % 50 == 0:
+                scores = sorted((-max(1 - 2**63, min(2**63 - 1, sum(a * b for a, b in zip(q, v, strict=True)))), j) for j, v in exact if j != i)
+                want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:5])]
+        made = [tuple(x) for x in top_k.top_inner_products(vectors(spark, rows)).select("query_id", "rank", "vec_id", "score").collect()]
+        assert sorted(made) == sorted(want)  # beyond 64 bits, scores stand at the end of their range
+
+
+def test_a_known_kth_score_opens_fewer_leaves():
+    r = np.random.default_rng(7)
+    centres = r.normal(size=(40, 16)) * 200
+    v = np.floor(centres[r.integers(0, 40, 8000)] + r.normal(size=(8000, 16)) * 20)
+    ids = np.arange(8000)
+    a, b = (top_k.BallTree.from_bytes(top_k.BallTree.build(ids[k::2], v[k::2]).to_bytes()) for k in (0, 1))
+    first = top_k.Best(ids[:1], v[:1], 5)
+    first.search(a)
+    alone, told = top_k.Best(ids[:1], v[:1], 5), top_k.Best(ids[:1], v[:1], 5, kth=first.scores[:, -1])
+    alone.search(b)
+    plain, b.opened = b.opened, 0
+    told.search(b)
+    assert b.opened <= plain < len(b.left) // 2 and a.opened < (a.left < 0).sum()
+    best = sorted(zip(-(v[1:] @ v[0]), ids[1:], strict=True))[:5]
+    both = sorted((-int(s), int(j)) for x in (first, told) for _, j, s in zip(*x.found(), strict=True))[:5]
+    assert both == [(int(s), int(j)) for s, j in best]
+
+
 def linked(rows, least):
     ids = [i for i, _ in rows]
     v = np.array([x for _, x in rows], np.float32).astype(float)
