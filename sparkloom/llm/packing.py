@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -15,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .segments import gathered, slices, text_array, whitespace_parts
 
 #: Words that are encoded in one call, with a special token between them.
@@ -27,11 +29,26 @@ POOL = 512
 LEAST_PIECE = 16
 
 
+#: Open sequences of tasks that are packed again by one task.
+GATHERED_OPEN = 256
+#: How a tokenizer must see texts for word_ids() to hold: fixed values of the vocabulary files it is made for.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    """The tokenizer of a file. One that doesn't lower-case, or parts texts other than by SPLIT, is refused, for words
+    encoded on their own would have other ids."""
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    made = Tokenizer.from_file(path)
+    told = json.loads(made.to_str())
+    steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    bytes_after = len(steps) == 2 and steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+    if told["normalizer"] != NORMALIZER or not bytes_after or steps[0] != SPLIT or told["model"]["type"] != "BPE":
+        raise ValueError(f"packing knows no tokenizer like {path}: it must lower-case and part texts as SPLIT says")
+    return made
 
 
 def _plain_ids(tokenizer, words: list[str]) -> list[list[int]]:
@@ -134,11 +151,11 @@ class Packer:
         self.made += 1
         self._open()
 
-    def add(self, item: object, tokens: int, loss_from: int) -> Iterator[tuple]:
-        """Yields (item, start, length, sequence, offset) of all that is placed; tokens from `loss_from` on bear loss."""
+    def add(self, item: object, tokens: int, loss_from: int, start: int = 0) -> Iterator[tuple]:
+        """Yields (item, start, length, sequence, offset) of all that is placed; tokens from `loss_from` on bear loss, and
+        those before `start` have a place already."""
         whole = min(self.limits.tokens, self.limits.loss)
-        start = 0
-        if loss_from <= 0:  # full sequences need no search
+        if loss_from <= start:  # full sequences need no search
             while tokens - start >= whole and self.limits.segments:
                 if self.offset:
                     break
@@ -153,6 +170,10 @@ class Packer:
     def finish(self) -> Iterator[tuple]:
         yield from self._place(0)
 
+    def open_id(self) -> int | None:
+        """The sequence that is not full yet, if there is one."""
+        return self.first_id + self.made if self.offset else None
+
     def _place(self, leave: int) -> Iterator[tuple]:
         if not self.pool:
             return
@@ -195,6 +216,57 @@ class Packer:
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
+class Pieces:
+    """Documents, or pieces of them, that wait for their places, and the rows of those that have one.
+
+    `held` of a row are the ids of a piece that lies in the sequence that is open at the end of a task.
+    """
+
+    def __init__(self, doc_kind: pa.DataType, packer: Packer, with_ids: bool):
+        self.packer, self.with_ids, self.waiting, self.done, self.last, self.number = packer, with_ids, {}, [], [], 0
+        names = ["doc_id", *(x.split()[0] for x in PIECE.split(", ")), "held", *["ids"] * with_ids]
+        self.schema = pa.schema(list(zip(names, [doc_kind] + [pa.int64()] * 7 + [pa.binary()] + [pa.list_(pa.int64())] * with_ids, strict=True)))
+
+    def add(self, doc: object, ids: np.ndarray, loss_from: int, *, start: int = 0, doc_tokens: int | None = None) -> None:
+        """ids: those of the document from `start` on."""
+        if ids.size:
+            self.waiting[self.number] = (doc, ids, loss_from, start, ids.size if doc_tokens is None else doc_tokens)
+            self._note(self.packer.add(self.number, start + ids.size, loss_from, start))
+            self.number += 1
+
+    def _note(self, placed: Iterator[tuple]) -> None:
+        for key, start, length, sequence, offset in placed:
+            doc, ids, loss_from, first, doc_tokens = self.waiting[key]
+            own = ids[start - first : start - first + length].astype("<u4")
+            row = [doc, start, length, zlib.crc32(own.tobytes()), doc_tokens, sequence, offset, max(0, start + length - max(start, loss_from)), own.tobytes()]
+            # rows of the sequence that is being filled wait with their ids until it is closed
+            if self.last and self.last[0][5] != sequence:
+                self._close(False)
+            self.last.append(row + ([own.tolist()] if self.with_ids else []))
+
+    def _close(self, still_open: bool) -> None:
+        for row in self.last:
+            if not still_open:
+                row[8] = None
+        self.done += self.last
+        self.last = []
+
+    def rows(self) -> pa.RecordBatch:
+        """What has its place for good so far."""
+        kept = {x[0] for x in self.packer.pool}
+        for key in [k for k in self.waiting if k not in kept]:
+            del self.waiting[key]
+        columns = list(zip(*self.done, strict=True)) if self.done else [()] * len(self.schema)
+        self.done = []
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, self.schema, strict=True)], schema=self.schema)
+
+    def finish(self) -> pa.RecordBatch:
+        self._note(self.packer.finish())
+        if self.last:
+            self._close(self.last[0][5] == self.packer.open_id())
+        return self.rows()
+
+
 def packed(
     docs: DataFrame,
     tokenizer_path: str,
@@ -214,53 +286,53 @@ def packed(
     unsigned 32-bit ids), doc_tokens, sequence_id, offset (in the sequence, without gaps from 0), loss_tokens, and ids if
     `with_ids`.
 
-    Each task packs the rows that it reads and leaves at most one sequence unfilled, and nothing is shuffled; ids of
-    sequences hold the task's partition, so tasks never share one. A null or empty text has the end id alone (without
-    one: no piece). Repeated rows and null ids are packed as rows of their own. An empty table gives an empty result.
-    Other columns are ignored.
+    Each task packs the rows that it reads; ids of sequences hold the task's partition, so tasks never share one. Only
+    the sequence that a task leaves unfilled is packed again, with those of up to GATHERED_OPEN - 1 other tasks, and so on
+    until one is left in all: padding doesn't grow with the number of tasks, and no text is shuffled.
+
+    A null or empty text has the end id alone (without one: no piece). Repeated rows and null ids are packed as rows of
+    their own. An empty table gives an empty result. Other columns are ignored. A tokenizer that is not known to part
+    texts as this does is refused.
     """
     bound = limits or Limits()
+    _tokenizer(tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_path)
-        packer = Packer(bound, TaskContext.get().partitionId() << 33)
-        waiting: dict[int, tuple] = {}
-        done: list[tuple] = []
-        number = 0
-
-        def note(placed: Iterator[tuple]) -> None:
-            for key, start, length, sequence, offset in placed:
-                doc, ids, loss_from = waiting[key]
-                own = ids[start : start + length]
-                row = (doc, start, length, zlib.crc32(own.astype("<u4").tobytes()), ids.size, sequence, offset, max(0, start + length - max(start, loss_from)))
-                done.append(row + ((own.tolist(),) if with_ids else ()))
-
-        def rows() -> pa.RecordBatch:
-            kept = {x[0] for x in packer.pool}
-            for key in [k for k in waiting if k not in kept]:
-                del waiting[key]
-            columns = list(zip(*done, strict=True)) if done else [()] * (9 if with_ids else 8)
-            kinds = [doc_kind] + [pa.int64()] * 7 + [pa.list_(pa.int64())] * with_ids
-            out = pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-            done.clear()
-            return out
-
-        names = ["doc_id", *(x.split()[0] for x in PIECE.split(", ")), *["ids"] * with_ids]
+        tokenizer, made = _tokenizer(tokenizer_path), None
         for batch in slices(batches):
-            doc_kind = batch.schema.field(0).type
+            made = made or Pieces(batch.schema.field(0).type, Packer(bound, TaskContext.get().partitionId() << 33), with_ids)
             texts = text_ids(tokenizer, text_array(batch.column(1)), between, end_id)
             prompts = text_ids(tokenizer, text_array(batch.column(2)), between, None) if prompt_col else repeat(np.zeros(0, np.uint32))
             for doc, own, prompt in zip(batch.column(0).to_pylist(), texts, prompts, strict=False):
-                own = np.concatenate([prompt, own]) if prompt_col else own
-                if own.size:
-                    waiting[number] = (doc, own, prompt.size)
-                    note(packer.add(number, own.size, prompt.size))
-                    number += 1
-            yield rows()
-        note(packer.finish())
-        if done:
-            yield rows()
+                made.add(doc, np.concatenate([prompt, own]) if prompt_col else own, prompt.size)
+            yield made.rows()
+        if made:
+            yield made.finish()
+
+    def again(level: int):
+        def lot(key: tuple, t: pa.Table) -> pa.Table:
+            made = Pieces(t.schema.field("doc_id").type, Packer(bound, (level << 58) + (key[0].as_py() << 33)), with_ids)
+            for r in sorted(t.drop_columns(["lot", *["ids"] * with_ids]).to_pylist(), key=lambda r: (r["sequence_id"], r["offset"])):
+                loss_from = r["start"] + r["length"] - r["loss_tokens"]
+                made.add(r["doc_id"], np.frombuffer(r["held"], "<u4"), loss_from, start=r["start"], doc_tokens=r["doc_tokens"])
+            return pa.Table.from_batches([made.finish()])
+
+        return lot
 
     rows_in = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *([F.col(prompt_col).alias("prompt")] if prompt_col else []))
     kind = rows_in.schema["doc_id"].dataType.simpleString()
-    return rows_in.mapInArrow(run, f"doc_id {kind}, {PIECE}" + ", ids array<long>" * with_ids)
+    shape = f"doc_id {kind}, {PIECE}, held binary" + ", ids array<long>" * with_ids
+    rows = stored(rows_in.mapInArrow(run, shape), "packing")
+    placed = rows.filter("held is null")
+    left = rows.filter("held is not null")
+    for level in range(1, 16):
+        n = left.select("sequence_id").distinct().count()
+        if n < 2:
+            break
+        lots = -(-n // GATHERED_OPEN)
+
+        lot = F.pmod(F.xxhash64("sequence_id"), F.lit(lots)).cast("int")
+        rows = stored(left.withColumn("lot", lot).groupBy("lot").applyInArrow(again(level), shape), "packing")
+        placed = placed.unionByName(rows.filter("held is null"))
+        left = rows.filter("held is not null")
+    return placed.unionByName(left).drop("held")
