@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +19,10 @@ from .shingles import mixed, shingle_sets
 SHARE = 0.3
 #: Bytes of such shingles that one task takes.
 BUCKET_BYTES = 24 << 20
-#: Rounds that group by the least hash under a permutation of its own, before the exact one.
+#: Permutations; sets group by the least hash under each, before the exact step.
 ROUNDS = 3
-#: Documents of a leaf; of a group that one task takes.
-LEAF, BLOCK = 32, 2000
+#: Documents of a leaf; of a group that one task takes, in the rounds of least hashes and in the exact one.
+LEAF, LEAST_BLOCK, BLOCK = 32, 500, 2000
 #: Rows of ids and keys up to which a table is broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 300_000
 #: Bytes of text that are taken at once.
@@ -144,82 +145,135 @@ def tree_links(sets: list[np.ndarray], parts: np.ndarray, sides: np.ndarray, per
     return links.edges
 
 
-def _summaries(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the set, and how many of its shingles are within SHARE."""
+LIMIT = np.uint64(int(SHARE * (1 << 64)))
+
+
+def _key(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set; 0 stands for no set at all."""
+    a, b = (int(_salted(s, k).sum(dtype=np.uint64)) for k in (50, 51))
+    return (a or 1) - (1 << 64) * ((a or 1) >> 63), b - (1 << 64) * (b >> 63)
+
+
+def _read(docs: DataFrame, width: int) -> DataFrame:
+    """One pass over all texts. A row for each document: doc_id, n_shingles, two hashes of the set (key, key2) and
+    shared_part, how many of its shingles are within SHARE. A row for each slice of texts, where `slice` is not null: its
+    distinct sets (keys), its distinct shingles within SHARE in order (tokens), for each the place of the set that holds it
+    from 1 on, or 0 if several do (holders), and how many of each set's shingles several of the slice hold (known)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most_bytes=SLICE):
             sets = shingle_sets(text_array(batch.column(1)), width)
             keys = np.array([_key(s) for s in sets], np.int64).reshape(-1, 2)
-            yield pa.record_batch([batch.column(0), pa.array([s.size for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([int(np.searchsorted(s, LIMIT)) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "key", "key2", "shared_part"])
+            within = [int(np.searchsorted(s, LIMIT)) for s in sets]
+            numbers = [pa.array([s.size for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(within, pa.int64())]
+            yield pa.record_batch([batch.column(0), *numbers, pa.nulls(len(sets), pa.int64()), *[pa.nulls(len(sets), pa.binary())] * 4], names=names)
+            own = {k: s[:n] for k, s, n in zip(keys[:, 0].tolist(), sets, within, strict=True) if n}
+            if own:
+                number = pa.array([uuid.uuid4().int >> 65], pa.int64())  # fixed once the rows are stored
+                yield pa.record_batch([pa.nulls(1, batch.schema.field(0).type), *[pa.nulls(1, pa.int64())] * 4, number, *(pa.array([x.tobytes()], pa.binary()) for x in _postings(own))], names=names)
+
+    names = ["doc_id", "n_shingles", "key", "key2", "shared_part", "slice", "keys", "tokens", "holders", "known"]
+    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, key long, key2 long, shared_part long, slice long, keys binary, tokens binary, holders binary, known binary")
+
+
+def _postings(own: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """keys, tokens, holders and known of a slice, from the shingles of its distinct sets."""
+    places = np.repeat(np.arange(1, len(own) + 1, dtype=np.int32), [s.size for s in own.values()])
+    tokens = np.concatenate(list(own.values()))
+    order = np.argsort(tokens, kind="stable")
+    tokens, places = tokens[order], places[order]
+    first = np.concatenate([[True], tokens[1:] != tokens[:-1]])
+    alone = first & np.concatenate([first[1:], [True]])
+    known = np.bincount(places[~alone], minlength=len(own) + 1)[1:].astype(np.int32)
+    return np.array(list(own), np.int64), tokens[first], np.where(alone, places, 0)[first], known
+
+
+def _repeated(read: DataFrame, buckets: int, tasks: int) -> DataFrame:
+    """key and repeated: how many shingles within SHARE of a set also occur in other sets.
+
+    Ranges of shingles are buckets; a task takes one bucket after the other. A slice sends each of its shingles once, with
+    its set, so that one of a third of all documents is sent once a slice, and is told in a bit for each whether other
+    sets have it. A slice knows all shingles of its sets, so each of them is counted there, in one row.
+    """
+    bit = "slice long, bucket int, tokens binary, holders binary, keys binary, known binary"
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, key long, key2 long, shared_part long")
+    def row(number: int, bucket: int, tokens: bytes = b"", holders: bytes = b"", keys: bytes = b"", known: bytes = b"") -> list:
+        return [pa.array([number], pa.int64()), pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in (tokens, holders, keys, known))]
 
+    names = [x.split()[0] for x in bit.split(", ")]
 
-LIMIT = np.uint64(int(SHARE * (1 << 64)))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, *parts in zip(batch.column("slice").to_pylist(), *(batch.column(c) for c in ("tokens", "holders", "keys")), strict=True):
+                tokens, holders, keys = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(parts, (np.uint64, np.int32, np.int64), strict=True))
+                sets = np.concatenate([[0], keys])[holders]
+                bucket = (tokens.astype(np.float64) * (buckets / float(LIMIT))).astype(np.int64).clip(0, buckets - 1)
+                edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    own = row(number, int(bucket[a]), tokens[a:b].tobytes(), sets[a:b].tobytes())
+                    yield pa.record_batch([pa.array([int(bucket[a]) * tasks // buckets], pa.int32()), *own], names=["task", *names])
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for number, bucket, tokens, sets in zip(*(batch.column(c).to_pylist() for c in ("slice", "bucket")), *(batch.column(c) for c in ("tokens", "holders")), strict=True):
+                if bucket != now and held:
+                    yield from told(now, held)
+                    held = []
+                now = bucket
+                held.append((number, np.frombuffer(tokens.as_py(), np.uint64), np.frombuffer(sets.as_py(), np.int64)))
+        if held:
+            yield from told(now, held)
+        trim()
 
+    def told(bucket: int, held: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        several = _several(np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]))
+        ends = np.cumsum([x[1].size for x in held]).tolist()
+        for (number, own, _), end in zip(held, ends, strict=True):
+            yield pa.record_batch(row(number, bucket, holders=np.packbits(several[end - own.size : end]).tobytes(), known=np.int64(own.size).tobytes()), names=names)
 
-def _key(s: np.ndarray) -> tuple[int, int]:
-    """Two hashes of a set; 0 stands for no set at all."""
-    a, b = (int(_salted(s, k).sum(dtype=np.uint64)) for k in (50, 51))
-    return (a or 1) - (1 << 64) * ((a or 1) >> 63), b - (1 << 64) * (b >> 63)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, at, flags = None, 0, None
+        for batch in batches:
+            for bucket, holders, keys, known in zip(batch.column("bucket").to_pylist(), *(batch.column(c) for c in ("holders", "keys", "known")), strict=True):
+                if bucket < 0:  # the slice itself comes before the bits of its shingles
+                    if head is not None:
+                        yield counted(*head, flags)
+                    head = tuple(np.frombuffer(x.as_py(), kind) for x, kind in ((holders, np.int32), (keys, np.int64), (known, np.int32)))
+                    at, flags = 0, np.zeros(head[0].size, bool)
+                else:
+                    size = int(np.frombuffer(known.as_py(), np.int64)[0])
+                    flags[at : at + size] = np.unpackbits(np.frombuffer(holders.as_py(), np.uint8), count=size)
+                    at += size
+        if head is not None:
+            yield counted(*head, flags)
+        trim()
 
+    def counted(holders: np.ndarray, keys: np.ndarray, known: np.ndarray, flags: np.ndarray) -> pa.RecordBatch:
+        found = known + np.bincount(holders[flags & (holders > 0)], minlength=keys.size + 1)[1:]
+        return pa.record_batch([pa.array(keys), pa.array(found.astype(np.int64))], names=["key", "repeated"])
 
-def _repeated(docs: DataFrame, width: int, buckets: int) -> DataFrame:
-    """key and repeated: how many shingles within SHARE of a set also occur in other sets, or more.
+    slices_ = read.filter("slice is not null").select("slice", F.lit(-1).alias("bucket"), F.lit(b"").alias("tokens"), "holders", "keys", "known")
+    posted = read.filter("slice is not null").select("slice", "tokens", "holders", "keys").mapInArrow(cut, f"task int, {bit}")
+    bits = posted.repartitionById(tasks, F.col("task")).sortWithinPartitions("bucket").drop("task").mapInArrow(tell, bit)
+    rows = slices_.unionByName(bits).repartition(tasks, "slice").sortWithinPartitions("slice", "bucket").mapInArrow(count, "key long, repeated long")
+    # equal sets of several slices have equal counts
+    return rows.groupBy("key").agg(F.max("repeated").alias("repeated"))
 
-    A task counts those that it sees in several sets itself and sends each distinct shingle once, so that a shingle
-    of a third of all documents is sent once a task.
-    """
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most_bytes=SLICE):
-            own = {}
-            for s in shingle_sets(text_array(batch.column(1)), width):
-                if s.size:
-                    own.setdefault(_key(s)[0], s[: np.searchsorted(s, LIMIT)])
-            if not own:
-                continue
-            keys = np.repeat(np.array(list(own), np.int64), [s.size for s in own.values()])
-            tokens = np.concatenate(list(own.values()))
-            order = np.argsort(tokens, kind="stable")
-            tokens, keys = tokens[order], keys[order]
-            first = np.concatenate([np.ones(min(1, tokens.size), bool), tokens[1:] != tokens[:-1]])
-            last = np.concatenate([first[1:], np.ones(min(1, tokens.size), bool)])
-            known, count = np.unique(keys[~(first & last)], return_counts=True)
-            yield _row(-1, known.tobytes(), count.astype(np.int64).tobytes())
-            keys = np.where(first & last, keys, 0)[first]
-            tokens = tokens[first]
-            bucket = (tokens.astype(np.float64) * (buckets / float(LIMIT))).astype(np.int64).clip(0, buckets - 1)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                if b > a:
-                    yield _row(k, tokens[a:b].tobytes(), keys[a:b].tobytes())
-
-    def _row(bucket: int, a: bytes, b: bytes) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([bucket], pa.int32()), pa.array([a], pa.binary()), pa.array([b], pa.binary())], names=["bucket", "a", "b"])
-
-    def count(t: pa.Table) -> pa.Table:
-        a, b = (np.concatenate([np.frombuffer(x, k) for x in t[c].to_pylist()]) for c, k in (("a", np.uint64), ("b", np.int64)))
-        if t["bucket"][0].as_py() < 0:
-            return pa.table({"key": a.view(np.int64), "repeated": b})
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        start = np.concatenate([[True], a[1:] != a[:-1]])
-        group = np.cumsum(start) - 1
-        several = np.zeros(group[-1] + 1, bool)
-        several[group[b == 0]] = True
-        differ = ~start & (np.concatenate([[0], b[1:] - b[:-1]]) != 0)
-        several[group[differ]] = True
-        once = start | np.concatenate([[True], b[1:] != b[:-1]])
-        found, number = np.unique(b[several[group] & (b != 0) & once], return_counts=True)
-        return pa.table({"key": found, "repeated": number.astype(np.int64)})
-
-    posted = docs.mapInArrow(post, "bucket int, a binary, b binary")
-    # what tasks have counted themselves needs no common place
-    lot = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("a"), F.lit(buckets)).cast("int")).otherwise(F.lit(0))
-    counted = posted.withColumn("lot", lot).groupBy("bucket", "lot").applyInArrow(count, "key long, repeated long")
-    return counted.groupBy("key").agg(F.sum("repeated").alias("repeated"))
+def _several(tokens: np.ndarray, holders: np.ndarray) -> np.ndarray:
+    """For each posting of a bucket, whether more than one set has its shingle. holders: hashes of sets, 0 for several."""
+    order = np.lexsort((holders, tokens))
+    tokens, holders = tokens[order], holders[order]
+    start = np.concatenate([[True], tokens[1:] != tokens[:-1]])
+    group = np.cumsum(start) - 1
+    several = np.zeros(group[-1] + 1, bool)
+    several[group[holders == 0]] = True
+    several[group[~start & np.concatenate([[False], holders[1:] != holders[:-1]])]] = True
+    out = np.zeros(tokens.size, bool)
+    out[order] = several[group]
+    return out
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
@@ -248,14 +302,17 @@ def _small(rows: DataFrame) -> DataFrame:
 def _merged(rows: DataFrame, keyed: DataFrame, parts: DataFrame, percent: int, *, exact: bool) -> DataFrame:
     """parts (class_id, part) after the links within groups of equal keys.
 
-    Only keys with several components are looked at, and one of those with the same sets. A group of more than BLOCK sets is dealt to blocks by a hash; all
-    pairs of blocks are compared if `exact`, else each block alone.
+    keyed: class_id, group_key and seed. Only keys with several components are looked at, and one of those with the same
+    sets. A larger group than a task takes is dealt to blocks by a hash with the seed; all pairs of blocks are compared if
+    `exact`, else each block alone (groups of other permutations have other blocks, and what still lacks is left to the
+    exact step).
     """
+    size = BLOCK if exact else LEAST_BLOCK
     own = keyed.join(parts, "class_id")
     members = [F.bit_xor(F.xxhash64("class_id", F.lit(k))).alias(f"members_{k}") for k in (0, 1)]
     groups = own.groupBy("group_key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"), *members).filter("a <> b")
-    groups = groups.groupBy("n", "members_0", "members_1").agg(F.min("group_key").alias("group_key")).select("group_key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = own.join(groups, "group_key").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+    groups = groups.groupBy("n", "members_0", "members_1").agg(F.min("group_key").alias("group_key")).select("group_key", F.ceil(F.col("n") / size).cast("int").alias("blocks"))
+    dealt = own.join(groups, "group_key").withColumn("block", F.pmod(F.xxhash64("class_id", "seed"), F.col("blocks")).cast("int"))
     if exact:
         others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
         dealt = dealt.withColumn("pair", F.explode(others))
@@ -319,7 +376,7 @@ def _prefixes(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     have = shared.groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("tokens")).join(rows.select("class_id", "n"), "class_id")
     left = F.expr(f"cast({lacking} + 1 - (n - size(tokens)) as int)")
     first = have.withColumn("left", left).filter("left > 0").select("class_id", F.explode(F.slice("tokens", 1, F.col("left"))).alias("t"))
-    return stored(first.select("class_id", F.col("t.token").alias("group_key")), "jaccard-prefixes")
+    return stored(first.select("class_id", F.col("t.token").alias("group_key"), F.lit(0).alias("seed")), "jaccard-prefixes")
 
 
 def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,10 +384,11 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id
 
     Returns doc_id (long), n_shingles and component_id: the smallest doc_id reachable by links, itself included.
 
-    Equal sets are one class. First, a class is left out if more of its shingles than a linked one can lack occur in no
-    other set: exact, and linear. Groups of classes with an equal least hash are joined by signature trees, in a few
-    rounds; last, those that share a shingle of the prefix that any linked pair must share. In every step only groups of
-    several components are looked at, and a tree stops below nodes that are known to be of one.
+    Shingles are compared by 64-bit hashes and sets by 128-bit hashes, never by their words. Equal sets are one class.
+    First, a class is left out if more of its shingles than a linked one can lack occur in no other set: exact, and
+    linear. Groups of classes with an equal least hash, under several permutations, are joined by signature trees; then
+    those that share a shingle of the prefix that any linked pair must share. Only groups of several components are
+    looked at, and a tree stops below nodes that are known to be of one.
 
     A null or empty text, or one without words, has an empty set and links with nothing. Rows with a null id have
     their n_shingles, no component, and take no part. Repeated rows are all returned; of rows that share an id but not
@@ -344,20 +402,22 @@ def _components(docs: DataFrame, percent: int, width: int, id_col: str, text_col
     the same smallest id."""
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    known = stored(_summaries(texts, width), "jaccard-docs")
+    read = stored(_read(texts, width), "jaccard-read")
+    known = read.filter("slice is null").select("doc_id", "n_shingles", "key", "key2", "shared_part")
     valid = known.filter("n_shingles > 0 and doc_id is not null")
     classes = valid.groupBy("key", "key2").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("shared_part").alias("part"))
     # several classes may have one smallest id; the numbers are fixed once they are stored
     classes = stored(classes.withColumn("class_id", F.monotonically_increasing_id()), "jaccard-classes")
     load = classes.agg(F.sum("part")).first()[0] or 0
-    buckets = max(partitions(spark), -(-16 * load // BUCKET_BYTES))
+    tasks = partitions(spark)
+    buckets = tasks * max(1, -(-16 * load // (tasks * BUCKET_BYTES)))
     lacking = F.expr(f"n - ({percent} * n + 99) div 100")
-    chosen = classes.join(_repeated(texts, width, buckets), "key", "left").filter(F.coalesce("repeated", F.lit(0)) >= F.col("part") - lacking)
+    chosen = classes.join(_repeated(read, buckets, tasks), "key", "left").filter(F.coalesce("repeated", F.lit(0)) >= F.col("part") - lacking)
     chosen = stored(chosen.select("class_id", "first_id", "key", "key2"), "jaccard-chosen")
     rows = stored(_sets(texts, chosen, width), "jaccard-sets")
-    parts = stored(rows.select("class_id", F.col("class_id").alias("part")), "jaccard-parts")
-    for k in range(ROUNDS):
-        parts = _merged(rows, rows.select("class_id", F.col(f"least_{k}").alias("group_key")), parts, percent, exact=False)
+    parts = rows.select("class_id", F.col("class_id").alias("part"))
+    least = F.array(*(F.struct(F.lit(k).alias("seed"), F.xxhash64(F.lit(k), f"least_{k}").alias("group_key")) for k in range(ROUNDS)))
+    parts = _merged(rows, rows.select("class_id", F.explode(least).alias("x")).select("class_id", "x.group_key", "x.seed"), parts, percent, exact=False)
     parts = _merged(rows, _prefixes(rows, parts, percent), parts, percent, exact=True)
     firsts = parts.join(chosen.select("class_id", "first_id"), "class_id").groupBy("part").agg(F.min("first_id").alias("least"))
     parts = parts.join(firsts, "part")
