@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keeping import shared_dir
 
-__all__ = ["id_text", "new_folder", "partitions", "read_file", "shared_dir", "stored", "table", "write_file"]
+__all__ = ["discarded", "id_text", "new_folder", "partitions", "read_file", "shared_dir", "stored", "table", "write_file"]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -21,12 +21,22 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a step to the shared folder and read it again: later steps never recompute it, whatever executors are lost.
 
-    Whoever starts a run clears the folder after it: a result that hasn't been written yet may still read its steps.
+    discarded() removes a step that nothing reads any more. Those that a result still reads stay until whoever started the
+    run clears the folder.
     """
     spark = df.sparkSession
     place = new_folder(spark, label)
     df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    made = spark.read.schema(df.schema).parquet(place)
+    made.place_ = place
+    return made
+
+
+def discarded(*steps: DataFrame) -> None:
+    """Remove steps that stored() has written, once all that was made from them has been stored itself."""
+    for step in steps:
+        fs, root = pafs.FileSystem.from_uri(step.place_)
+        fs.delete_dir(root)
 
 
 def write_file(folder: str, data: bytes) -> str:

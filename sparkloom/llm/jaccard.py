@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import id_text, partitions, stored
+from .common import discarded, id_text, partitions, stored
 from .segments import slices, text_array, trim
 from .shingles import mixed, shingle_sets
 
@@ -329,6 +329,7 @@ def _merged(rows: DataFrame, keyed: DataFrame, parts: DataFrame, percent: int, *
 
     edges = rows.select("class_id", "set").join(_small(dealt), "class_id").groupBy("group_key", "x", "y").applyInArrow(link, "src long, dst long")
     edges = stored(edges, "jaccard-edges")
+    discarded(dealt)
     if edges.isEmpty():
         return parts
     joined = connected_components(edges, lambda x: stored(x, "jaccard-parts"))
@@ -376,7 +377,9 @@ def _prefixes(rows: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     have = shared.groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("tokens")).join(rows.select("class_id", "n"), "class_id")
     left = F.expr(f"cast({lacking} + 1 - (n - size(tokens)) as int)")
     first = have.withColumn("left", left).filter("left > 0").select("class_id", F.explode(F.slice("tokens", 1, F.col("left"))).alias("t"))
-    return stored(first.select("class_id", F.col("t.token").alias("group_key"), F.lit(0).alias("seed")), "jaccard-prefixes")
+    out = stored(first.select("class_id", F.col("t.token").alias("group_key"), F.lit(0).alias("seed")), "jaccard-prefixes")
+    discarded(every, kept)
+    return out
 
 
 def jaccard_components(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,7 +406,7 @@ def _components(docs: DataFrame, percent: int, width: int, id_col: str, text_col
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     read = stored(_read(texts, width), "jaccard-read")
-    known = read.filter("slice is null").select("doc_id", "n_shingles", "key", "key2", "shared_part")
+    known = stored(read.filter("slice is null").select("doc_id", "n_shingles", "key", "key2", "shared_part"), "jaccard-docs")
     valid = known.filter("n_shingles > 0 and doc_id is not null")
     classes = valid.groupBy("key", "key2").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("shared_part").alias("part"))
     # several classes may have one smallest id; the numbers are fixed once they are stored
@@ -414,11 +417,14 @@ def _components(docs: DataFrame, percent: int, width: int, id_col: str, text_col
     lacking = F.expr(f"n - ({percent} * n + 99) div 100")
     chosen = classes.join(_repeated(read, buckets, tasks), "key", "left").filter(F.coalesce("repeated", F.lit(0)) >= F.col("part") - lacking)
     chosen = stored(chosen.select("class_id", "first_id", "key", "key2"), "jaccard-chosen")
+    discarded(read)
     rows = stored(_sets(texts, chosen, width), "jaccard-sets")
     parts = rows.select("class_id", F.col("class_id").alias("part"))
     least = F.array(*(F.struct(F.lit(k).alias("seed"), F.xxhash64(F.lit(k), f"least_{k}").alias("group_key")) for k in range(ROUNDS)))
     parts = _merged(rows, rows.select("class_id", F.explode(least).alias("x")).select("class_id", "x.group_key", "x.seed"), parts, percent, exact=False)
-    parts = _merged(rows, _prefixes(rows, parts, percent), parts, percent, exact=True)
+    prefixes = _prefixes(rows, parts, percent)
+    parts = stored(_merged(rows, prefixes, parts, percent, exact=True), "jaccard-parts")
+    discarded(rows, prefixes)
     firsts = parts.join(chosen.select("class_id", "first_id"), "class_id").groupBy("part").agg(F.min("first_id").alias("least"))
     parts = parts.join(firsts, "part")
     of_class = known.join(classes.select("key", "key2", "class_id", "first_id"), ["key", "key2"], "left").join(parts, "class_id", "left")
