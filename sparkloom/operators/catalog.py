@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .keys import numbered
 
+#: Files from which a digest is hot, and the parts that its rows are dealt to.
+HOT, SALTS = 1_000_000, 64
+
 
 def listing_changes(listing: DataFrame, catalog: DataFrame) -> DataFrame:
     """path with change: 'new', 'changed' (size or time differ) or 'same'. Files that are gone are not looked at."""
@@ -37,8 +40,7 @@ def merged_catalog(listing: DataFrame, catalog: DataFrame, *, suffixes: list[str
         F.when(~reset, F.col("content_hash")).alias("content_hash"),
     )
     top = catalog.agg(F.coalesce(F.max("file_pk"), F.lit(0)).alias("top"))  # one row
-    new = changes.filter("change = 'new'").withColumn("order_", F.xxhash64("path"))
-    new = numbered(new, "order_", "n", span=1 << 54).crossJoin(F.broadcast(top))
+    new = numbered(changes.filter("change = 'new'"), "path", "n").crossJoin(F.broadcast(top))
     new = new.select((F.col("top") + F.col("n") + 1).alias("file_pk"), "path", "size", "mtime", F.lit(0).alias("status"), F.lit(None).cast("string").alias("content_hash"))
     return kept.unionByName(new)
 
@@ -50,9 +52,20 @@ def without_dependents(dependents: DataFrame, changes: DataFrame, catalog: DataF
 
 
 def exact_duplicates(files: DataFrame, key: str = "file_pk", digest: str = "content_hash") -> DataFrame:
-    """Add canonical_pk (smallest key with that content) and is_exact_dupe. Files without a digest have neither."""
-    first = files.filter(F.col(digest).isNotNull()).groupBy(digest).agg(F.min(key).alias("canonical_pk"))
-    return files.join(first, digest, "left").withColumn("is_exact_dupe", F.coalesce(F.col(key) != F.col("canonical_pk"), F.lit(False)))
+    """Add canonical_pk (smallest key with that content) and is_exact_dupe. Files without a digest have neither.
+
+    Digests are dealt with one of SALTS numbers, so that neither the files without a digest nor those of one that a third
+    of all files share meet in one task.
+    """
+    salts = F.array(*map(F.lit, range(SALTS)))
+    first = files.filter(F.col(digest).isNotNull()).groupBy(digest).agg(F.min(key).alias("canonical_pk"), F.count("*").alias("copies_"))
+    # a digest with few files needs one row, a hot one a row for each salt
+    first = first.withColumn("salt_", F.explode(F.when(F.col("copies_") > HOT, salts).otherwise(F.array(F.lit(-1)))))
+    hot = first.filter("salt_ = 0").select(digest, F.lit(True).alias("hot_"))
+    marked = files.join(F.broadcast(hot), digest, "left")  # at most one in HOT files has such a digest
+    salt = F.when(F.col("hot_"), F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).otherwise(-1)
+    joined = marked.withColumn("salt_", salt).drop("hot_").join(first.drop("copies_"), [digest, "salt_"], "left")
+    return joined.drop("salt_").withColumn("is_exact_dupe", F.coalesce(F.col(key) != F.col("canonical_pk"), F.lit(False)))
 
 
 def duplicate_totals(files: DataFrame) -> DataFrame:
@@ -74,16 +87,34 @@ def canonical(files: DataFrame) -> DataFrame:
     return files.filter(F.col("content_hash").isNotNull() & ~F.coalesce("is_exact_dupe", F.lit(False)) & (F.col("status") == 1))
 
 
+def rebuilt_claims(claims: DataFrame, files: DataFrame) -> DataFrame:
+    """(content_hash, canonical_file_pk): claims without stale ones, and one for each content that lacks it, by the
+    smallest key that has it."""
+    faults = claim_faults(claims, files)
+    good = claims.join(faults.filter("fault = 'stale'").select("content_hash"), "content_hash", "left_anti").select("content_hash", "canonical_file_pk")
+    lacking = files.filter("content_hash is not null").groupBy("content_hash").agg(F.min("file_pk").alias("canonical_file_pk")).join(good, "content_hash", "left_anti")
+    return good.unionByName(lacking)
+
+
 def bucketed(files: DataFrame, bucket_rows: int, *, key: str = "file_pk") -> DataFrame:
-    """ok_index (dense, by key), bucket_id and bucket_pos."""
-    rows = numbered(files, key, "ok_index")
+    """ok_index (dense, by key), bucket_id and bucket_pos. Where the files have an ok_index column, numbers that are set
+    stay, and the others go on from the largest."""
+    if "ok_index" in files.columns:
+        old = files.filter("ok_index is not null")
+        top = old.agg((F.coalesce(F.max("ok_index"), F.lit(-1)) + 1).alias("top_"))  # one row
+        new = numbered(files.filter("ok_index is null").drop("ok_index"), key, "n_").crossJoin(F.broadcast(top))
+        rows = old.unionByName(new.withColumn("ok_index", (F.col("top_") + F.col("n_")).cast("long")).drop("n_", "top_"))
+    else:
+        rows = numbered(files, key, "ok_index")
     return rows.withColumn("bucket_id", F.expr(f"ok_index div {bucket_rows}")).withColumn("bucket_pos", F.col("ok_index") % bucket_rows)
 
 
 def missing_presets(files: DataFrame, presets: DataFrame, done: DataFrame) -> DataFrame:
-    """(file_pk, preset) pairs with no finished derivative. presets is a short list, broadcast by Spark if small enough."""
-    wanted = files.select("file_pk").crossJoin(presets.select("preset"))
-    return wanted.join(done.filter("status = 1").select("file_pk", "preset"), ["file_pk", "preset"], "left_anti")
+    """(file_pk, preset) pairs with no finished derivative. presets is a short list of names."""
+    every = presets.agg(F.collect_set("preset").alias("every_"))  # one row
+    have = done.filter("status = 1").groupBy("file_pk").agg(F.collect_set("preset").alias("have_"))
+    rows = files.select("file_pk").join(have, "file_pk", "left").crossJoin(F.broadcast(every))
+    return rows.select("file_pk", F.explode(F.array_except("every_", F.coalesce("have_", F.array().cast("array<string>")))).alias("preset"))
 
 
 def preset_progress(files: DataFrame, done: DataFrame, wanted: list[str]) -> DataFrame:

@@ -64,6 +64,11 @@ def statistics(rows: DataFrame, concepts: DataFrame) -> DataFrame:
     return one.select((F.col("images") + F.col("entities") + F.col("concepts")).alias("nodes"), (F.col("held") + F.col("paired") + F.col("is_a")).alias("edges"), "images", "entities", "concepts")
 
 
+def instances(links: DataFrame) -> DataFrame:
+    """a, b, relation 'instance_of', weight 1 of (entity, concept) links, each once: edges of the graph beside is_a."""
+    return links.filter("entity is not null and concept is not null").select(F.col("entity").alias("a"), F.col("concept").alias("b")).distinct().select("a", "b", F.lit("instance_of").alias("relation"), F.lit(1.0).alias("weight"))
+
+
 def hierarchy(concepts: DataFrame) -> DataFrame:
     """name, parent (the last given), children (sorted) of every concept, parents that were never added included."""
     names = concepts.select("name").union(concepts.filter("parent is not null").select(F.col("parent").alias("name"))).distinct()

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keeping import kept
 
-def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row for each key: the one that comes first by `order`."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+
+def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row for each key: the one that is largest by the columns `order`, kept by partial aggregation alone."""
+    last = F.max_by(F.struct(*rows.columns), F.struct(*order))
+    return rows.groupBy(*keys).agg(last.alias("_last")).select("_last.*")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -25,13 +28,15 @@ def next_key(rows: DataFrame, key: str) -> DataFrame:
     return rows.agg(F.coalesce(F.max(key) + 1, F.lit(1)).cast("long").alias("next_key"))
 
 
-def numbered(rows: DataFrame, key: str, name: str, *, span: int = 100_000) -> DataFrame:
-    """Add `name`: 0, 1, 2 ... by rising `key`, a number that no two rows share.
+def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Add `name`: 0, 1, 2 ... by rising `key` (of any type that has an order), which no two rows share.
 
-    Rows are dealt by runs of `span` keys; only the counts of runs are summed in order.
+    Rows are dealt by ranges of keys, as even as a sample tells, sorted there and kept with their places; only the counts
+    of ranges are summed in order. So no task sees the whole table, however the keys lie.
     """
-    dealt = rows.withColumn("_run", F.floor(F.col(key) / span))
-    before = F.sum("_rows").over(Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1))
-    runs = dealt.groupBy("_run").agg(F.count("*").alias("_rows")).select("_run", F.coalesce(before, F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_run").orderBy(key))
-    return dealt.withColumn("_own", own).join(runs, "_run").withColumn(name, (F.col("_before") + F.col("_own") - 1).cast("long")).drop("_run", "_own", "_before")
+    placed = kept(rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)  # the task and the place in it make up the number
+    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_part", part).join(F.broadcast(sums), "_part").withColumn(name, (F.col("_before") + own).cast("long")).drop("_part", "_before", "_at")

@@ -31,7 +31,8 @@ def without_labels(rows: DataFrame, excluded: list[int], labels: str = "labels")
 
 
 def distribution(rows: DataFrame, labels: str = "names") -> DataFrame:
-    return rows.select(F.explode(labels).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    """name and n, the most frequent first, then by name."""
+    return rows.select(F.explode(labels).alias("name")).groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name")
 
 
 def distribution_totals(rows: DataFrame, labels: str = "names") -> DataFrame:
@@ -46,7 +47,13 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def per_label(pairs: DataFrame) -> DataFrame:
-    """label, tp, fp, fn, support, precision, recall, f1 of (sample, label, truth, predicted) rows; 0 where undefined."""
+    """label, tp, fp, fn, support, precision, recall, f1 of (sample, label, truth, predicted) rows, of labels that are true
+    somewhere; 0 where a ratio is undefined."""
+    return label_counts(pairs).filter("support > 0")
+
+
+def label_counts(pairs: DataFrame) -> DataFrame:
+    """What per_label() gives, of all labels."""
     t, p = F.col("truth"), F.col("predicted")
     n = lambda c: F.count(F.when(c, 1)).cast("long")
     sums = pairs.groupBy("label").agg(n(t & p).alias("tp"), n(~t & p).alias("fp"), n(t & ~p).alias("fn"), n(t).alias("support"))
@@ -58,7 +65,7 @@ def multilabel(pairs: DataFrame) -> DataFrame:
     """One row: subset accuracy, Hamming loss, F1 (macro, micro, weighted), macro precision and recall."""
     samples = pairs.groupBy("sample").agg(F.min((F.col("truth") == F.col("predicted")).cast("int")).alias("all_right"))
     tp, fp, fn, support = F.sum("tp"), F.sum("fp"), F.sum("fn"), F.sum("support")
-    classes = per_label(pairs).agg(
+    classes = label_counts(pairs).agg(
         F.avg("f1").alias("f1_macro"), _ratio(2 * tp, 2 * tp + fp + fn).alias("f1_micro"), _ratio(F.sum(F.col("f1") * F.col("support")), support).alias("f1_weighted"),
         F.avg("precision").alias("precision_macro"), F.avg("recall").alias("recall_macro"),
     )
@@ -73,7 +80,8 @@ def threshold_sweep(scores: DataFrame, thresholds: list[float]) -> DataFrame:
     n = lambda c: F.count(F.when(c, 1))
     sums = each.groupBy("threshold", "label").agg(n(t & p).alias("tp"), n(~t & p).alias("fp"), n(t & ~p).alias("fn"))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return sums.groupBy("threshold").agg(F.avg(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"), F.avg(_ratio(tp, tp + fp)).alias("precision"), F.avg(_ratio(tp, tp + fn)).alias("recall"))
+    mean = lambda x: F.round(F.avg(x), 12)  # noqa: E731  beyond that, a mean depends on the order of its terms
+    return sums.groupBy("threshold").agg(mean(_ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"), mean(_ratio(tp, tp + fp)).alias("precision"), mean(_ratio(tp, tp + fn)).alias("recall"))
 
 
 def checked_labels(reply: Column, uncertain: list[int]) -> Column:

@@ -14,13 +14,13 @@ def block_relations(blocks: DataFrame, row_tolerance: float, column_tolerance: f
     """page, a, b, relation, weight for pairs a < b of blocks of a page.
 
     blocks: page, block, x, y (centre), w, h. The later rule wins: left_of / right_of for equal rows, above / below for
-    equal columns, near for a distance under twice the larger side of both, weighted by 1 / max(distance, 1).
+    equal columns, near for a distance under twice the larger side of the first block (a), weighted by 1 / max(distance, 1).
     """
     a = blocks.select("page", *(F.col(c).alias(f"{c}_a") for c in ("block", "x", "y", "w", "h")))
     b = blocks.select("page", *(F.col(c).alias(f"{c}_b") for c in ("block", "x", "y", "w", "h")))
     dx, dy = F.col("x_b") - F.col("x_a"), F.col("y_b") - F.col("y_a")
     gap = F.sqrt(dx * dx + dy * dy)
-    near = gap < 2 * F.greatest("w_a", "h_a", "w_b", "h_b")
+    near = gap < 2 * F.greatest("w_a", "h_a")
     row, column = F.abs(dy) < row_tolerance, F.abs(dx) < column_tolerance
     relation = F.when(near, "near").when(column, F.when(dy > 0, "above").otherwise("below")).when(row, F.when(dx > 0, "left_of").otherwise("right_of"))
     pairs = a.join(b, "page").filter("block_a < block_b").withColumn("relation", relation).filter("relation is not null")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,6 +101,37 @@ def sparkline(rows: DataFrame, keys: list[str], order: list[str], value: str, n:
     return own.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "tick"))), lambda x: x["tick"]), "").alias("line"))
 
 
+def smoothed(rows: DataFrame, keys: list[str], order: list[str], value: str, alpha: float) -> DataFrame:
+    """Add ema: the exponential mean of the values so far, by keys; the first sets it, each further one moves it by `alpha`.
+
+    A row looks back only as far as a value still weighs 1e-18, which is below a double's precision, so that no row holds
+    all of a key's values.
+    """
+    back = 0 if alpha >= 1 else math.ceil(18 * math.log(10) / -math.log(1 - alpha))
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-back, 0)
+    rows = rows.withColumn("seen_", F.collect_list(F.col(value).cast("double")).over(w))
+    ema = F.aggregate(F.slice("seen_", 2, F.size("seen_")), F.get("seen_", 0), lambda t, x: t + alpha * (x - t))
+    return rows.withColumn("ema", ema).drop("seen_")
+
+
+def with_cool_down(decisions: DataFrame, keys: list[str], order: str, batches: int) -> DataFrame:
+    """Decisions of a loop, where one that scales is held ('cooldown') until `batches` further turns have passed since the
+    last one that was carried out. A key's decisions are a short log; they are walked in order."""
+    log = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("decision").alias("d"))))
+    scales = lambda x: x["d"].isin("scale_up", "scale_down")
+    start = F.expr("named_struct('left', 0, 'out', cast(array() as array<struct<o:bigint,d:string>>))")
+    walked = F.aggregate(
+        F.col("log"),
+        start,
+        lambda t, x: F.struct(
+            F.when(scales(x) & (t["left"] <= 0), F.lit(batches)).otherwise(F.greatest(t["left"] - 1, F.lit(0))).alias("left"),
+            F.array_append(t["out"], F.struct(x["o"].cast("long").alias("o"), F.when(scales(x) & (t["left"] > 0), "cooldown").otherwise(x["d"]).alias("d"))).alias("out"),
+        ),
+        lambda t: t["out"],
+    )
+    return decisions.groupBy(*keys).agg(log.alias("log")).select(*keys, F.explode(walked).alias("x")).select(*keys, F.col("x.o").alias(order), F.col("x.d").alias("decision"))
+
+
 def suggested_concurrency(current: Column, p95: Column, target: float, lo: int, hi: int, step: int = 4) -> Column:
     moved = F.when(p95 < 0.85 * target, current + step).when(p95 > 1.10 * target, current - step).otherwise(current)
     return F.greatest(F.lit(lo), F.least(F.lit(hi), moved)).cast("int")

@@ -17,9 +17,9 @@ def chunks(rows: DataFrame, size: int, overlap: int, *, key: str = "file_pk", te
         raise ValueError("size must be positive and overlap lie in 0..size - 1")
     step, n = size - overlap, F.length(text)
     last = F.greatest(F.ceil((n - size) / step), F.lit(0)).cast("int")
-    each = rows.filter(F.length(text) > 0).select(key, F.col(text).alias("text_"), n.alias("n_"), F.explode(F.sequence(F.lit(0), last)).alias("chunk_id"))
-    start, end = F.col("chunk_id") * step, F.least(F.col("chunk_id") * step + size, F.col("n_"))
-    return each.select(key, "chunk_id", start.alias("char_start"), end.alias("char_end"), F.substring("text_", start + 1, F.lit(size)).alias("chunk"))
+    # pieces are cut before they become rows, so that no row carries the whole text
+    piece = lambda k: F.struct(k.alias("chunk_id"), (k * step).alias("char_start"), F.least(k * step + size, n).alias("char_end"), F.substring(text, k * step + 1, F.lit(size)).alias("chunk"))
+    return rows.filter(F.length(text) > 0).select(key, F.explode(F.transform(F.sequence(F.lit(0), last), piece)).alias("x")).select(key, "x.*")
 
 
 def replaced_chunks(old: DataFrame, new: DataFrame, key: str = "file_pk") -> DataFrame:
@@ -60,10 +60,14 @@ def within_budget(rows: DataFrame, budget: int, *, key: str = "file_pk", text: s
 def parsed_reply(raw: Column) -> Column:
     """struct(subject, summary, doc_type, entities_json, tags_json) of a reply; all null if it is no JSON object.
 
-    doc_type is the first tag, if that is a text; lists are given back as JSON where their key is present.
+    Subject and summary are given if they are texts. doc_type is the first tag, if tags are a list and it is a text.
+    Entities and tags are given back as JSON, whatever they are, where their key is present (a JSON null as null's text).
     """
-    json = without_fence(raw)
-    good = F.get_json_object(json, "$").startswith("{")
-    text = lambda k: F.when(good, F.get_json_object(json, f"$.{k}"))
-    first = F.get(F.from_json(F.get_json_object(json, "$.tags"), "array<string>"), 0)
-    return F.struct(text("subject").alias("subject"), text("summary").alias("summary"), F.when(good, first).alias("doc_type"), text("entities").alias("entities_json"), text("tags").alias("tags_json"))
+    value = F.try_parse_json(without_fence(raw))
+    kind = lambda v: F.schema_of_variant(v)
+    good = kind(value).startswith("OBJECT")
+    at = lambda path: F.try_variant_get(value, path, "variant")
+    text = lambda path: F.when(good & (kind(at(path)) == "STRING"), F.try_variant_get(value, path, "string"))
+    json = lambda path: F.when(good, F.to_json(at(path)))
+    first = F.when(kind(at("$.tags")).startswith("ARRAY"), text("$.tags[0]"))
+    return F.struct(text("$.subject").alias("subject"), text("$.summary").alias("summary"), first.alias("doc_type"), json("$.entities").alias("entities_json"), json("$.tags").alias("tags_json"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import catalog, entities, keys, labels, layout, measures, near, tasks, texts
+from ..operators.keeping import kept
+from ..operators import catalog, entities, keys, labels, lookups, layout, measures, near, tasks, texts
 from . import training
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,13 +109,11 @@ def scan_changes(t):
 
 @query("scan_merge", f"""
     with c as (select * from {CATALOG}), l as (select * from {LISTING}), top as (select max(file_pk) as top from c)
-    select path, coalesce(l.size, c.size) as size, cast(case when c.path is null or l.size <> c.size then 0 else 1 end as integer) as status,
-           case when l.size = c.size then content_hash end as content_hash, coalesce(file_pk > top, true) as is_new
+    select coalesce(file_pk, top + row_number() over (partition by file_pk is null order by path)) as file_pk, path, coalesce(l.size, c.size) as size,
+           cast(case when c.path is null or l.size <> c.size then 0 else 1 end as integer) as status, case when l.size = c.size then content_hash end as content_hash
     from l full join c using (path), top""")
 def scan_merge(t):
-    merged = catalog.merged_catalog(_listing(t), _catalog(t))
-    top = _catalog(t).agg(F.max("file_pk").alias("top"))
-    return merged.crossJoin(F.broadcast(top)).select("path", "size", "status", "content_hash", (F.col("file_pk") > F.col("top")).alias("is_new"))
+    return catalog.merged_catalog(_listing(t), _catalog(t)).select("file_pk", "path", "size", "status", "content_hash")
 
 
 @query("scan_dependents", f"""
@@ -171,11 +170,12 @@ def missing_presets(t):
 
 
 @query("preset_progress", """
-    select c_custkey as file_pk, count(distinct o_orderpriority) filter (o_orderstatus = 'F' and o_orderpriority in ('1-URGENT', '2-HIGH', '5-LOW')) as n_have
+    select c_custkey as file_pk, count(distinct o_orderpriority) filter (o_orderstatus = 'F' and o_orderpriority in ('1-URGENT', '2-HIGH', '5-LOW')) as n_have,
+           coalesce(string_agg(distinct o_orderpriority, ',' order by o_orderpriority) filter (o_orderstatus = 'F' and o_orderpriority in ('1-URGENT', '2-HIGH', '5-LOW')), '') as have
     from customer left join orders on o_custkey = c_custkey group by 1 having n_have < 3""")
 def preset_progress(t):
     done = t.orders.select(F.col("o_custkey").alias("file_pk"), F.col("o_orderpriority").alias("preset"), (F.col("o_orderstatus") == "F").cast("int").alias("status"))
-    return catalog.preset_progress(t.customer.select(F.col("c_custkey").alias("file_pk")), done, ["1-URGENT", "2-HIGH", "5-LOW"]).select("file_pk", "n_have")
+    return catalog.preset_progress(t.customer.select(F.col("c_custkey").alias("file_pk")), done, ["1-URGENT", "2-HIGH", "5-LOW"]).select("file_pk", "n_have", F.array_join("have", ",").alias("have"))
 
 
 @query("upsert_latest", """
@@ -197,7 +197,7 @@ def insert_missing(t):
 @query("latest_per_key", """
     select user_id, event_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n = 1""")
 def latest_per_key(t):
-    return keys.latest(t.events, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id")
+    return keys.latest(t.events, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id")
 
 
 # --- near-duplicates -------------------------------------------------------------------------------------------------
@@ -212,17 +212,17 @@ def _hashes(t: Tables) -> DataFrame:
 @query("hamming_pairs", f"""
     with h as (select min(file_pk) as k, hash from {HASHES} group by hash)
     select a.k as a, b.k as b, cast(bit_count(xor(a.hash, b.hash)) as integer) as distance
-    from h a join h b on a.k < b.k where bit_count(xor(a.hash, b.hash)) between 1 and 16""")
+    from h a join h b on a.k < b.k where bit_count(xor(a.hash, b.hash)) between 1 and 8""")
 def hamming_pairs(t):
-    return near.close_pairs(_hashes(t).groupBy("hash").agg(F.min("file_pk").alias("key")), 16)
+    return near.close_pairs(_hashes(t).groupBy("hash").agg(F.min("file_pk").alias("key")), 8)
 
 
 @query("near_marked", f"""
     with f as (select * from {HASHES}), h as (select min(file_pk) as k, hash from f group by hash),
-    n as (select b.k as b, min(a.k) as near from h a join h b on a.k < b.k where bit_count(xor(a.hash, b.hash)) between 1 and 16 group by 1)
+    n as (select b.k as b, min(a.k) as near from h a join h b on a.k < b.k where bit_count(xor(a.hash, b.hash)) between 1 and 8 group by 1)
     select file_pk, case when file_pk <> k then k else near end as dupe_of from f join h using (hash) left join n on n.b = k""")
 def near_marked(t):
-    return near.marked_near(_hashes(t), 16)
+    return near.marked_near(_hashes(t), 8)
 
 
 # --- tasks -----------------------------------------------------------------------------------------------------------
@@ -426,7 +426,7 @@ PER_LABEL = f"""select label, count(*) filter (truth and predicted) as tp, count
 
 @query("per_label_metrics", f"""
     select *, case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as precision, case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as recall,
-           case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end as f1 from ({PER_LABEL})""")
+           case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end as f1 from ({PER_LABEL}) where support > 0""")
 def per_label_metrics(t):
     return labels.per_label(t.truth())
 
@@ -448,8 +448,8 @@ THRESHOLDS = [round(0.10 + 0.05 * k, 2) for k in range(16)]
     with s as (select vec_id as sample, i - 1 as label, label % 8 = i - 1 as truth, cast(embedding[i] as double) / 2 + 0.5 as score from embeddings, range(1, 9) r(i)),
     c as (select threshold, label, count(*) filter (truth and score >= threshold) as tp, count(*) filter (not truth and score >= threshold) as fp, count(*) filter (truth and score < threshold) as fn
           from s, (select unnest({THRESHOLDS})::double as threshold) group by 1, 2)
-    select threshold, avg(case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end) as f1,
-           avg(case when tp + fp > 0 then tp / (tp + fp) else 0.0 end) as precision, avg(case when tp + fn > 0 then tp / (tp + fn) else 0.0 end) as recall from c group by 1""")
+    select threshold, round(avg(case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end), 12) as f1,
+           round(avg(case when tp + fp > 0 then tp / (tp + fp) else 0.0 end), 12) as precision, round(avg(case when tp + fn > 0 then tp / (tp + fn) else 0.0 end), 12) as recall from c group by 1""")
 def threshold_sweep(t):
     return labels.threshold_sweep(t.scores(), THRESHOLDS)
 
@@ -512,11 +512,20 @@ def hashed_vectors(t):
 
 
 @query("reply_fields", """
-    select event_id, json_extract_string(props, '$.k') as subject, event_id % 3 = 0 as fenced from events""")
+    with e as (select event_id, json_extract_string(props, '$.k') as k from events)
+    select event_id, case when event_id % 6 = 5 then null when event_id % 6 = 4 then null else k end as subject, case when event_id % 6 in (4, 5) then null else 's ' || event_id end as summary,
+           case event_id % 6 when 0 then 'a' when 3 then 'x' end as doc_type,
+           case event_id % 6 when 0 then '["e1"]' when 1 then 'null' when 2 then '{"n":1}' when 4 then '[]' end as entities_json,
+           case event_id % 6 when 0 then '["a","b"]' when 1 then '[1,"b"]' when 2 then '"x"' when 3 then '["x"]' when 4 then '[]' end as tags_json
+    from e""")
 def reply_fields(t):
-    json = F.concat(F.lit('{"subject":"'), F.get_json_object("props", "$.k"), F.lit('","tags":["a"]}'))
-    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("```json\n"), json, F.lit("\n```"))).otherwise(json)
-    return t.events.select("event_id", texts.parsed_reply(raw)["subject"].alias("subject"), (F.col("event_id") % 3 == 0).alias("fenced"))
+    """Replies with lists, lists that begin with a number, a text in place of a list, missing keys, a subject that is no
+    text, and what is no object; one in three in a code fence."""
+    head = F.concat(F.lit('{"subject":"'), F.get_json_object("props", "$.k"), F.lit('","summary":"s '), F.col("event_id").cast("string"), F.lit('"'))
+    tail = [',"tags":["a","b"],"entities":["e1"]}', ',"tags":[1,"b"],"entities":null}', ',"tags":"x","entities":{"n":1}}', ',"tags":["x"]}']
+    made = F.element_at(F.array(*(F.concat(head, F.lit(x)) for x in tail), F.lit('{"subject":7,"tags":[],"entities":[]}'), F.lit('["no object"]')), (F.col("event_id") % 6 + 1).cast("int"))
+    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("```json\n"), made, F.lit("\n```"))).otherwise(made)
+    return t.events.select("event_id", texts.parsed_reply(raw).alias("p")).select("event_id", "p.*")
 
 
 @query("checked_labels", """
@@ -586,7 +595,7 @@ def rectangles(t):
 # --- layout ----------------------------------------------------------------------------------------------------------
 
 RELATIONS = f"""(select a.page, a.block as a, b.block as b, abs(b.y - a.y) < 20 as same_row, abs(b.x - a.x) < 50 as same_column,
-    sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) as gap, greatest(a.w, a.h, b.w, b.h) as side, b.x - a.x as dx, b.y - a.y as dy
+    sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) as gap, greatest(a.w, a.h) as side, b.x - a.x as dx, b.y - a.y as dy
     from {BLOCKS.replace(") blocks", ") a")} join {BLOCKS.replace(") blocks", ") b")} on a.page = b.page and a.block < b.block) p"""
 KIND = "case when gap < 2 * side then 'near' when same_column then case when dy > 0 then 'above' else 'below' end when same_row then case when dx > 0 then 'left_of' else 'right_of' end end"
 
@@ -606,7 +615,7 @@ def reading_order(t):
     reach(page, node, other) as (select page, a, a from s union select r.page, r.node, s.b from reach r join s on s.page = r.page and s.a = r.other)
     select page, node as block, min(other) as region from reach group by 1, 2""")
 def layout_regions(t):
-    return layout.regions(layout.block_relations(t.blocks(), 20.0, 50.0), _kept)
+    return layout.regions(layout.block_relations(t.blocks(), 20.0, 50.0), kept)
 
 
 @query("layout_tables", f"""
@@ -615,7 +624,7 @@ def layout_regions(t):
     g as (select page, node as block, min(other) as region from reach group by 1, 2)
     select page, region, count(*) as n_blocks, count(distinct cast(trunc(y / 20) as integer)) as n_rows from g join {BLOCKS} using (page, block) group by 1, 2 having n_rows >= 2 and n_blocks >= 2""")
 def layout_tables(t):
-    return layout.tables(t.blocks(), layout.block_relations(t.blocks(), 20.0, 50.0), 20.0, _kept)
+    return layout.tables(t.blocks(), layout.block_relations(t.blocks(), 20.0, 50.0), 20.0, kept)
 
 
 @query("layout_summary", f"""
@@ -627,21 +636,6 @@ def layout_summary(t):
     return layout.summary(t.blocks(), layout.block_relations(t.blocks(), 20.0, 50.0))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A step of a loop, kept in the folder the cluster shares."""
-    import tempfile
-    import uuid
-
-    spark = df.sparkSession
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = tempfile.mkdtemp(prefix="sparkloom-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    folder = f"{place.rstrip('/')}/loop-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
 # --- entities --------------------------------------------------------------------------------------------------------
 
 
@@ -712,3 +706,130 @@ def event_windows(t):
     from ..streaming.ingest import windowed_counts
 
     return windowed_counts(t.events)
+
+
+# --- lookups ---------------------------------------------------------------------------------------------------------
+
+
+def _paths(t: Tables) -> DataFrame:
+    return t.documents.select(F.col("doc_id").alias("file_pk"), F.concat(F.lit("dir/"), "source", F.lit("/d"), F.col("doc_id").cast("string"), F.lit(".tar.gz")).alias("path"))
+
+
+@query("file_page", "select doc_id from documents where doc_id > 20 order by doc_id limit 64")
+def file_page(t):
+    return lookups.page_after(t.documents.select("doc_id"), "doc_id", 20, 64)
+
+
+@query("truth_rows", """
+    select doc_id as file_pk, 'dir/' || source || '/d' || doc_id || '.tar.gz' as path, quality || ',' || (toxic + 2) as labels
+    from labels join documents using (doc_id) where doc_id % 2 = 0""")
+def truth_rows(t):
+    own = t.labels.select(F.col("doc_id").alias("file_pk"), (F.col("doc_id") % 2).alias("run_id"), F.array("quality", F.col("toxic") + 2).alias("labels"))
+    return lookups.truth_rows(own, _paths(t), 0).select("file_pk", "path", F.array_join(F.col("labels").cast("array<string>"), ",").alias("labels"))
+
+
+@query("files_with_tasks", "select doc_id as file_pk from documents where doc_id in (select user_id from events where event_type = 'error')")
+def files_with_tasks(t):
+    own = t.events.select(F.col("user_id").alias("file_pk"), F.col("event_type").alias("run_id"))
+    return lookups.files_with_tasks(t.documents.select(F.col("doc_id").alias("file_pk")), own, "error")
+
+
+@query("label_rows", """
+    select doc_id as file_pk, 'dir/' || source || '/d' || doc_id || '.tar.gz' as path, toxic as run_id from labels join documents using (doc_id) order by doc_id, toxic limit 100""")
+def label_rows(t):
+    own = t.labels.select(F.col("doc_id").alias("file_pk"), F.col("toxic").alias("run_id"), F.array("quality").alias("labels"), F.lit("x").alias("text"))
+    return lookups.label_rows(own, _paths(t), most=100).select("file_pk", "path", "run_id")
+
+
+@query("keys_of_paths", "select doc_id as file_pk, 'dir/' || source || '/d' || doc_id || '.tar.gz' as path from documents where doc_id % 3 = 0")
+def keys_of_paths(t):
+    asked = _paths(t).filter("file_pk % 3 = 0").select("path").unionByName(t.documents.select(F.concat(F.lit("none/"), "source").alias("path")))
+    return lookups.keys_of_paths(asked, _paths(t)).select("file_pk", "path")
+
+
+@query("keys_of_stems", "select doc_id as file_pk, 'd' || doc_id || '.tar' as stem from documents where doc_id % 3 = 0")
+def keys_of_stems(t):
+    asked = t.documents.select(F.concat(F.when(F.col("doc_id") % 3 == 0, "d").otherwise("none"), F.col("doc_id").cast("string"), F.lit(".tar")).alias("stem"))
+    return lookups.keys_of_stems(asked, _paths(t)).select("file_pk", "stem")
+
+
+@query("evaluated_run", """
+    with b as (select doc_id, [quality, toxic + 2] as t, [toxic, quality + 2] as p from labels where doc_id % 5 <> 0),
+    c as (select r_regionkey as label, count(*) filter (list_contains(t, r_regionkey) and list_contains(p, r_regionkey)) as tp,
+                 count(*) filter (not list_contains(t, r_regionkey) and list_contains(p, r_regionkey)) as fp,
+                 count(*) filter (list_contains(t, r_regionkey) and not list_contains(p, r_regionkey)) as fn, count(*) filter (list_contains(t, r_regionkey)) as support from b, region group by 1)
+    select label, tp, fp, fn, support, case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as precision, case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as recall,
+           case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end as f1 from c where support > 0""")
+def evaluated_run(t):
+    truth = t.labels.select(F.col("doc_id").alias("file_pk"), F.array("quality", F.col("toxic") + 2).alias("labels"))
+    made = t.labels.filter("doc_id % 5 <> 0").select(F.col("doc_id").alias("file_pk"), F.array("toxic", F.col("quality") + 2).alias("labels"))
+    return labels.per_label(lookups.evaluated_run(made, truth, t.vocabulary()))
+
+
+@query("dashboard_totals", f"""
+    with f as (select file_pk, file_pk <> min(file_pk) over (partition by content_hash) as dupe from {FILES}),
+    p as (select doc_id, quality = 1 as told from labels)
+    select (select count(*) from f) as files, (select count(*) from f) as hashed, (select count(*) from f where file_pk % 10 = 0) as pending, (select count(*) from f where not dupe) as uniques,
+           (select count(*) from f where dupe) as dupes, (select count(*) from f where file_pk % 7 = 0) as near_dupes, (select count(*) from p) as labelled,
+           (select count(*) from p where told and doc_id not in (select vec_id from embeddings)) as unembedded, (select count(*) from p where told and doc_id not in (select conv_id from conversations)) as enrichable""")
+def dashboard_totals(t):
+    rows = catalog.exact_duplicates(t.files()).withColumn("status", (F.col("file_pk") % 10 != 0).cast("int")).withColumn("near_of", F.when(F.col("file_pk") % 7 == 0, 1))
+    own = t.labels.select(F.col("doc_id").alias("file_pk"), F.when(F.col("quality") == 1, "x").alias("text"))
+    return lookups.totals(rows, own, t.embeddings.select(F.col("vec_id").alias("file_pk")), t.conversations.select(F.col("conv_id").alias("file_pk")))
+
+
+@query("ingest_counters", """
+    select kind, count(*) filter (event_id is not null and event_type <> 'error') as ok, count(*) filter (event_type = 'error') as errors
+    from (values ('download'), ('unarchive'), ('sort')) k(kind) left join events on kind = case event_id % 2 when 0 then 'download' else 'sort' end group by 1""")
+def ingest_counters(t):
+    return lookups.ingest_counters(t.events.select(F.when(F.col("event_id") % 2 == 0, "download").otherwise("sort").alias("kind"), F.when(F.col("event_type") == "error", "boom").alias("error")))
+
+
+@query("reply_checks", """
+    select event_id, case event_id % 5 when 0 then 't' end as subject, case event_id % 5 when 0 then null when 4 then 'subject must be a text' else 'subject is required' end as subject_error,
+           case event_id % 5 when 0 then 'a,b' when 1 then '' end as entities, case event_id % 5 when 2 then 'entities must be a list of texts' when 4 then 'entities must be a list of texts' end as entities_error from events""")
+def reply_checks(t):
+    replies = ['{"subject":" t ","entities":["a","b"]}', '{"subject":"","entities":[]}', '{"entities":["a",1]}', '{"subject":null}', '{"subject":[1],"entities":"a"}']
+    raw = F.element_at(F.array(*map(F.lit, replies)), (F.col("event_id") % 5 + 1).cast("int"))
+    a, b = lookups.text_field(raw, "subject", required=True), lookups.list_field(raw, "entities", required=False)
+    return t.events.select("event_id", a["value"].alias("subject"), a["error"].alias("subject_error"), F.array_join(b["value"], ",").alias("entities"), b["error"].alias("entities_error"))
+
+
+@query("claims_rebuilt", f"select content_hash, min(file_pk) as canonical_file_pk from (select * from {FILES}) group by 1")
+def claims_rebuilt(t):
+    own = t.files().groupBy("content_hash").agg(F.min("file_pk").alias("canonical_file_pk"))
+    claims = own.filter("canonical_file_pk % 13 <> 0").select(F.concat("content_hash", F.when(F.col("canonical_file_pk") % 11 == 0, "x").otherwise("")).alias("content_hash"), "canonical_file_pk")
+    return catalog.rebuilt_claims(claims, t.files())
+
+
+@query("bucket_more", """
+    with o as (select doc_id as file_pk, case when doc_id % 4 = 0 then doc_id // 4 end as ok_index from documents), top as (select max(ok_index) + 1 as top from o),
+    i as (select file_pk, coalesce(ok_index, top + row_number() over (partition by ok_index is null order by file_pk) - 1) as ok_index from o, top)
+    select file_pk, ok_index, ok_index // 100 as bucket_id, ok_index % 100 as bucket_pos from i""")
+def bucket_more(t):
+    rows = t.documents.select(F.col("doc_id").alias("file_pk"), F.when(F.col("doc_id") % 4 == 0, F.expr("doc_id div 4")).alias("ok_index"))
+    return catalog.bucketed(rows, 100).select("file_pk", "ok_index", "bucket_id", "bucket_pos")
+
+
+@query("smoothed_p95", """
+    with recursive o as (select user_id, event_id, value as v, row_number() over (partition by user_id order by ts, event_id) as i from events),
+    f as (select user_id, event_id, i, v as m from o where i = 1 union all select o.user_id, o.event_id, o.i, 0.7 * m + 0.3 * v from f join o on o.user_id = f.user_id and o.i = f.i + 1)
+    select event_id, round(m, 6) as ema from f""")
+def smoothed_p95(t):
+    return measures.smoothed(t.events, ["user_id"], ["ts", "event_id"], "value", 0.3).select("event_id", F.round("ema", 6).alias("ema"))
+
+
+@query("cool_downs", """
+    with recursive o as (select user_id, event_id, case event_type when 'error' then 'scale_down' when 'click' then 'scale_up' else 'hold' end as d, row_number() over (partition by user_id order by event_id) as i from events),
+    f as (select user_id, event_id, i, case when d <> 'hold' then 3 else 0 end as rest, d as decision from o where i = 1
+          union all select o.user_id, o.event_id, o.i, case when d <> 'hold' and rest <= 0 then 3 else greatest(rest - 1, 0) end, case when d <> 'hold' and rest > 0 then 'cooldown' else d end
+          from f join o on o.user_id = f.user_id and o.i = f.i + 1)
+    select user_id, event_id, decision from f""")
+def cool_downs(t):
+    d = F.when(F.col("event_type") == "error", "scale_down").when(F.col("event_type") == "click", "scale_up").otherwise("hold")
+    return measures.with_cool_down(t.events.withColumn("decision", d), ["user_id"], "event_id", 3)
+
+
+@query("concept_instances", "select distinct l_partkey as a, l_shipmode_ as b, 'instance_of' as relation, cast(1 as double) as weight from (select l_partkey, l_returnflag as l_shipmode_ from lineitem)")
+def concept_instances(t):
+    return entities.instances(t.lineitem.select(F.col("l_partkey").alias("entity"), F.col("l_returnflag").alias("concept")))

@@ -94,7 +94,7 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("multiLine", "true").schema("id int, name string, description string").json(path)
     squeezed = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
     rows = raw.select(F.col("id").alias("label_id"), squeezed("name").alias("name"), squeezed("description").alias("description"))
-    bad = rows.filter("label_id is null or label_id < 1 or name = '' or length(name) > 64 or length(description) > 120").limit(1).count()
+    bad = rows.filter("label_id is null or label_id < 1 or name = '' or length(name) > 64 or description = '' or length(description) > 120").limit(1).count()
     if bad or rows.groupBy("label_id").count().filter("count > 1").limit(1).count():
-        raise ValueError("ids must be unique and positive, names 1 to 64 and descriptions up to 120 characters")
+        raise ValueError("ids must be unique and positive, names 1 to 64 and descriptions 1 to 120 characters")
     return rows.orderBy("label_id")

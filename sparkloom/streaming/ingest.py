@@ -51,7 +51,7 @@ def merge_stream(rows: DataFrame, table: Snapshots, keys: list[str], order: str,
         last = table.last()
         if last and last[1] >= number:
             return
-        table.write(upsert(table.read(), latest(batch, keys, [F.desc(order)]), keys), number)
+        table.write(upsert(table.read(), latest(batch, keys, [order]), keys), number)
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

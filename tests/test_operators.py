@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import scalars as S
 from sparkloom.operators import catalog, entities, exports, graph, images, labels, layout, measures, near, tasks, texts
 from sparkloom.plans import stages, training
-from sparkloom.plans.queries import _kept
+from sparkloom.operators.keeping import kept
 from sparkloom.sources import files
 
 
@@ -100,9 +100,9 @@ def test_near_duplicates_are_not_transitive(spark):
 
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7), (None, 1)], "src long, dst long")
-    made = {r["node"]: r["component"] for r in graph.connected_components(edges, _kept).collect()}
+    made = {r["node"]: r["component"] for r in graph.connected_components(edges, kept).collect()}
     assert made == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
-    assert graph.connected_components(edges.limit(0), _kept).count() == 0
+    assert graph.connected_components(edges.limit(0), kept).count() == 0
 
 
 def test_layout_grid(spark):
@@ -110,9 +110,9 @@ def test_layout_grid(spark):
     blocks = spark.createDataFrame(rows, "page long, block long, x double, y double, w double, h double")
     relations = layout.block_relations(blocks, 20, 20)
     assert {(r["a"], r["b"]): r["relation"] for r in relations.collect()}[(0, 1)] == "left_of"
-    parts = layout.regions(relations, _kept)
+    parts = layout.regions(relations, kept)
     assert parts.count() == 6 and parts.filter("block = 99").count() == 0
-    assert layout.tables(blocks, relations, 20, _kept).count() == 0  # rows are regions of their own: none has two row keys
+    assert layout.tables(blocks, relations, 20, kept).count() == 0  # rows are regions of their own: none has two row keys
     order = spark.createDataFrame([(1, 1, 5.0, -15.0), (1, 2, 1.0, 15.0)], "page long, block long, x double, y double")
     assert [r["block"] for r in layout.reading_order(order, 20).orderBy("place").collect()] == [2, 1]
 
@@ -183,11 +183,12 @@ def test_archives(spark):
 
 
 def test_vocabulary(spark, tmp_path):
-    (tmp_path / "v.json").write_text('[{"id": 2, "name": " a  b ", "description": "x"}, {"id": 1, "name": "c"}]')
-    assert [tuple(r) for r in files.vocabulary(spark, str(tmp_path / "v.json")).collect()] == [(1, "c", ""), (2, "a b", "x")]
-    (tmp_path / "w.json").write_text('[{"id": 0, "name": "a"}]')
-    with pytest.raises(ValueError, match="ids"):
-        files.vocabulary(spark, str(tmp_path / "w.json"))
+    (tmp_path / "v.json").write_text('[{"id": 2, "name": " a  b ", "description": "x"}, {"id": 1, "name": "c", "description": "y"}]')
+    assert [tuple(r) for r in files.vocabulary(spark, str(tmp_path / "v.json")).collect()] == [(1, "c", "y"), (2, "a b", "x")]
+    for bad in ('{"id": 0, "name": "a", "description": "x"}', '{"id": 1, "name": "a", "description": " "}', '{"id": 1, "name": "a"}'):
+        (tmp_path / "w.json").write_text(f"[{bad}]")
+        with pytest.raises(ValueError, match="ids"):
+            files.vocabulary(spark, str(tmp_path / "w.json"))
 
 
 def test_images():
