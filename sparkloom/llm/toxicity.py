@@ -236,18 +236,21 @@ def _odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> n
 
 
 def fit(texts: list[str], labels: list[int], *, steps: int = 400, seed: int = 1) -> Model:
-    """Fit on texts with labels 0 and 1. Repeated texts count once.
+    """Fit on texts with labels 0 and 1. Repeated texts count once, as toxic if they have both labels. With one label
+    alone, all texts have it; without any text, none is held to be toxic.
 
     Odds of words and n-grams are learned first. The inputs of a training text come from odds of the other folds, so
     that the network sees what it will see of new texts. A toxic text is toxic because of some window: the network is
     trained on the window of each toxic text that looks worst so far, against all windows of clean ones; what looks
     worst is looked up again as training goes on. Last, a text's largest logit is calibrated.
     """
-    known = dict(zip(texts, labels, strict=True))
+    known: dict[str, int] = {}
+    for text, label in zip(texts, labels, strict=True):
+        known[text] = max(label, known.get(text, 0))
     texts, y = list(known), np.array(list(known.values()), float)
     if not texts or y.min() == y.max():
         flat = np.zeros(BUCKETS, np.float32)
-        return Model(Network(len(PAD_FEATURES), seed=seed), flat, flat, 0.0, 0.0 if not texts else (3.0 if y[0] else -3.0))
+        return Model(Network(len(PAD_FEATURES), seed=seed), flat, flat, 0.0, 3.0 if texts and y[0] else -3.0)
     parts = lowered_parts(text_array(pa.array(texts, pa.string())))
     lots = list(hashed(parts.words))
 

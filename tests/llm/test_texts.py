@@ -466,4 +466,6 @@ def test_toxicity_on_odd_rows(spark, odd):
     assert made.count() == odd.count() and made.filter("score is null").count() == 0 and toxicity.scored(odd.limit(0), model).count() == 0
     assert toxicity.without_toxic(odd, model, least=2.0).count() == odd.count() and toxicity.without_toxic(odd, model).columns == odd.columns
     none = spark.createDataFrame([], "doc_id long, toxic int")
-    assert toxicity.scored(odd, toxicity.learned(odd, none)).filter("score = 0.5").count() == odd.count()
+    assert toxicity.scored(odd, toxicity.learned(odd, none)).filter("predicted = 0").count() == odd.count()
+    both = toxicity.fit(["bad word"] * 2 + ["good one", "good two"] * 4, [1, 0] + [0, 0] * 4, steps=20)
+    assert both.scores(text_array(pa.array(["bad word"])))[0] > both.scores(text_array(pa.array(["good one"])))[0]
