@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Suffixes of images in scans, and those that make up each kind of file.
+# Suffixes of images in scans, those of each kind of file and of archives, and output formats.
 IMAGE_SUFFIXES = [".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff", ".webp", ".pdf"]
 KIND_SUFFIXES = {
     "images": [".jpg", ".jpeg", ".png", ".tif", ".tiff", ".bmp", ".webp", ".gif", ".heic"],
