@@ -813,10 +813,10 @@ def bucket_more(t):
 
 @query("smoothed_p95", """
     with recursive o as (select user_id, event_id, value as v, row_number() over (partition by user_id order by ts, event_id) as i from events),
-    f as (select user_id, event_id, i, v as m from o where i = 1 union all select o.user_id, o.event_id, o.i, 0.7 * m + 0.3 * v from f join o on o.user_id = f.user_id and o.i = f.i + 1)
+    f as (select user_id, event_id, i, v as m from o where i = 1 union all select o.user_id, o.event_id, o.i, m + (v - m) / 3 from f join o on o.user_id = f.user_id and o.i = f.i + 1)
     select event_id, round(m, 6) as ema from f""")
 def smoothed_p95(t):
-    return measures.smoothed(t.events, ["user_id"], ["ts", "event_id"], "value", 0.3).select("event_id", F.round("ema", 6).alias("ema"))
+    return measures.smoothed(t.events, ["user_id"], ["ts", "event_id"], "value", 1 / 3).select("event_id", F.round("ema", 6).alias("ema"))
 
 
 @query("cool_downs", """
