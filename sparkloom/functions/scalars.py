@@ -103,3 +103,13 @@ def word_count(text: Column) -> Column:
 def without_fence(raw: Column) -> Column:
     """JSON from a reply that may stand in a code fence."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.trim(raw), r"^```[A-Za-z]*\s*", ""), r"\s*```$", ""))
+
+
+def path_bytes(path: Column) -> Column:
+    """A path as the bytes that a catalogue keeps: UTF-8."""
+    return F.encode(path, "UTF-8")
+
+
+def path_text(data: Column) -> Column:
+    """The path of path_bytes(); bytes that are no UTF-8 are refused as null."""
+    return F.try_validate_utf8(data.cast("string"))

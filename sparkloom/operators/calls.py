@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keeping import kept
 from .keys import insert_missing, upsert
 from .labels import checked_labels
-from .tasks import after_claim, claimed
+from .tasks import after_claim, after_results, claimable, claimed
 from .texts import open_work, parsed_reply, within_budget
 
 RESPONSE = "choices array<struct<message: struct<content: string>, finish_reason: string>>, usage struct<prompt_tokens: long, completion_tokens: long>"
@@ -81,6 +82,30 @@ def dispatched(tasks: DataFrame, as_of: Column, limit: int, call: Callable[[list
     return after_claim(tasks, claims), checked.select("file_pk", "c.labels", error.isNull().alias("ok"), error.alias("error"))
 
 
+def dispatched_until_done(
+    tasks: DataFrame, as_of: Callable[[], Column], limit: int, call: Callable[[list[str]], list[str]], uncertain: list[int], *, attempts: int, base: float, factor: float, most: float
+) -> tuple[DataFrame, DataFrame]:
+    """Turns of dispatched() until no task can be claimed: the tasks then, and file_pk with labels of those that were done.
+
+    tasks: file_pk, path, status, attempt, next_run_at, last_error and others. as_of() gives the time of a turn. Tasks that
+    wait for a later time are left as they are. Each turn's tables are kept, so a call is made once for a claim. The tasks
+    are those of one run.
+    """
+    if limit < 1:
+        raise ValueError("a turn must claim a task at least")
+    done = None
+    while not tasks.filter(claimable(now := as_of())).isEmpty():
+        busy, checked = dispatched(tasks, now, limit, call, uncertain)
+        checked = kept(checked.withColumn("finished_at", now))
+        ended = after_results(busy, checked, attempts=attempts, base=base, factor=factor, most=most).withColumnRenamed("last_error", "error_")
+        due = F.timestamp_micros("next_run_us").cast(tasks.schema["next_run_at"].dataType)
+        rows = tasks.drop("status", "attempt").join(ended, "file_pk").withColumn("next_run_at", F.coalesce(due, "next_run_at")).withColumn("last_error", F.coalesce("error_", "last_error"))
+        tasks = kept(rows.select(*tasks.columns))
+        good = checked.filter("ok").select("file_pk", "labels")
+        done = good if done is None else done.unionByName(good)
+    return tasks, tasks.select("file_pk", F.lit(None).cast("array<int>").alias("labels")).limit(0) if done is None else done
+
+
 def registered(known: DataFrame, new: DataFrame, key: str, unique: list[str]) -> DataFrame:
     """Known rows and the new ones whose `unique` columns are not among them, with the next keys: presets, settings, runs.
     Such tables are short."""

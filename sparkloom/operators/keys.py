@@ -24,6 +24,18 @@ def insert_missing(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
     return old.unionByName(new.join(old.select(*keys), keys, "left_anti").select(*old.columns).dropDuplicates(keys))
 
 
+def upsert_keyed(old: DataFrame, new: DataFrame, place: list[str], key: str) -> DataFrame:
+    """All new rows (without `key`; each `place` once), and the old ones whose place isn't among them. A new row takes the
+    key of the old one in its place, or the next after the largest, by place. Columns that only old rows have become null."""
+    own = new.select(*new.columns, *(F.lit(None).cast(old.schema[c].dataType).alias(c) for c in old.columns if c != key and c not in new.columns))
+    known = own.join(old.select(*place, key), place)
+    fresh = own.join(old.select(*place), place, "left_anti").withColumn("place_", F.struct(*place))
+    top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("top_"))  # one row
+    given = numbered(fresh, "place_", "n_").crossJoin(F.broadcast(top)).withColumn(key, (F.col("top_") + F.col("n_") + 1).cast(old.schema[key].dataType))
+    rest = old.join(new.select(*place), place, "left_anti")
+    return rest.select(*old.columns).unionByName(known.select(*old.columns)).unionByName(given.select(*old.columns))
+
+
 def next_key(rows: DataFrame, key: str) -> DataFrame:
     return rows.agg(F.coalesce(F.max(key) + 1, F.lit(1)).cast("long").alias("next_key"))
 

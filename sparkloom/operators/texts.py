@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import without_fence, word_count
+from .keys import latest
 
 
 def chunks(rows: DataFrame, size: int, overlap: int, *, key: str = "file_pk", text: str = "text") -> DataFrame:
@@ -27,6 +28,21 @@ def replaced_chunks(old: DataFrame, new: DataFrame, key: str = "file_pk") -> Dat
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
+def run_texts(predictions: DataFrame, *, run_id: object | None = None, most: int | None = None) -> DataFrame:
+    """file_pk and text of a run's predictions, or of each file's latest run (by created_at, then run_id) if none is named;
+    null and empty texts are left out before. `most` files at most, by file_pk."""
+    rows = predictions.filter(F.length("text") > 0)
+    rows = latest(rows, ["file_pk"], ["created_at", "run_id"]) if run_id is None else rows.filter(F.col("run_id") == run_id)
+    rows = rows.select("file_pk", "text")
+    return rows if most is None else rows.orderBy("file_pk").limit(most)
+
+
+def chunked_run(old: DataFrame, predictions: DataFrame, size: int, overlap: int, *, run_id: object | None = None, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Chunks after a run was cut anew: its files' old ones are replaced; and one row, the number of files cut."""
+    rows = run_texts(predictions, run_id=run_id, most=most)
+    return replaced_chunks(old, chunks(rows, size, overlap)), rows.agg(F.count("*").alias("documents"))
+
+
 def open_work(rows: DataFrame, done: DataFrame, keys: list[str], model: str) -> DataFrame:
     """Rows that have no result of the model yet."""
     return rows.join(done.filter(F.col("model_name") == model).select(*keys), keys, "left_anti")

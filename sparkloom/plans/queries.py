@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators.keeping import kept
-from ..operators import catalog, entities, keys, labels, lookups, layout, measures, near, tasks, texts
+from ..operators import catalog, derivatives, entities, keys, labels, layout, lookups, measures, near, tasks, texts
 from . import training
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -833,3 +833,116 @@ def cool_downs(t):
 @query("concept_instances", "select distinct l_partkey as a, l_shipmode_ as b, 'instance_of' as relation, cast(1 as double) as weight from (select l_partkey, l_returnflag as l_shipmode_ from lineitem)")
 def concept_instances(t):
     return entities.instances(t.lineitem.select(F.col("l_partkey").alias("entity"), F.col("l_returnflag").alias("concept")))
+
+
+# --- derivatives and runs --------------------------------------------------------------------------------------------
+
+DERIVATIVES = """(select max(o_orderkey) as deriv_pk, o_custkey as file_pk, o_orderpriority as preset, cast(max(o_orderkey) % 3 as integer) as status from orders group by 2, 3)"""
+
+
+def _derivatives(t: Tables) -> DataFrame:
+    """The largest order of a customer and a priority as a derivative."""
+    own = t.orders.groupBy(F.col("o_custkey").alias("file_pk"), F.col("o_orderpriority").alias("preset")).agg(F.max("o_orderkey").alias("deriv_pk"))
+    return own.withColumn("transform_cfg_id", F.lit(0)).withColumn("status", (F.col("deriv_pk") % 3).cast("int")).withColumn("error", F.when(F.col("status") == 2, "old"))
+
+
+def _wanted(t: Tables) -> DataFrame:
+    names = F.array(F.lit("1-URGENT"), F.lit("9-NEW"))
+    return t.customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("file_pk"), F.explode(names).alias("preset"), F.lit(0).alias("transform_cfg_id"))
+
+
+def _marked(status: str, error: str) -> str:
+    return f"""
+    with o as (from {DERIVATIVES}), w as (select c_custkey as file_pk, preset from customer, (values ('1-URGENT'), ('9-NEW')) v(preset) where c_custkey % 3 = 0),
+    j as (select file_pk, preset, o.deriv_pk, o.status, w.file_pk is not null as hit from o full join w using (file_pk, preset)),
+    n as (select *, row_number() over (partition by deriv_pk is null order by file_pk, preset) as n from j)
+    select coalesce(deriv_pk, n + (select max(deriv_pk) from o)) as deriv_pk, file_pk, preset, cast(case when hit then {status} else status end as integer) as status,
+           case when hit then {error} when status = 2 then 'old' end as error from n"""
+
+
+@query("derivatives_pending", _marked("0", "null"))
+def derivatives_pending(t):
+    return derivatives.pending(_derivatives(t), _wanted(t)).select("deriv_pk", "file_pk", "preset", "status", "error")
+
+
+@query("derivatives_failed", _marked("2", "'broken ' || preset"))
+def derivatives_failed(t):
+    return derivatives.failed(_derivatives(t), _wanted(t), F.concat(F.lit("broken "), "preset")).select("deriv_pk", "file_pk", "preset", "status", "error")
+
+
+@query("derivative_results", f"""
+    select deriv_pk, cast(case when deriv_pk % 2 = 1 then status when deriv_pk % 4 = 0 then 1 else 2 end as integer) as status,
+           case when deriv_pk % 2 = 1 then case when status = 2 then 'old' end when deriv_pk % 4 <> 0 then 'full' end as error from {DERIVATIVES}""")
+def derivative_results(t):
+    ok = F.col("o_orderkey") % 4 == 0
+    results = t.orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("deriv_pk"), ok.alias("ok"), F.when(~ok, "full").alias("error"))
+    return derivatives.after_results(_derivatives(t), results).select("deriv_pk", "status", "error")
+
+
+@query("open_transforms", """
+    select c_custkey as file_pk, cfg as transform_cfg_id from customer, (values (0), (1)) v(cfg)
+    where not exists (select 1 from orders where o_custkey = c_custkey and o_orderkey % 3 = 1 and o_orderkey % 2 = cfg)""")
+def open_transforms(t):
+    runs = t.orders.select(F.col("o_custkey").alias("file_pk"), (F.col("o_orderkey") % 2).cast("int").alias("transform_cfg_id"), (F.col("o_orderkey") % 3).alias("status"))
+    return derivatives.open_transforms(t.customer.select(F.col("c_custkey").alias("file_pk"), F.explode(F.array(F.lit(0), F.lit(1))).alias("transform_cfg_id")), runs)
+
+
+@query("transforms_after", """
+    with o as (select max(o_orderkey) as run_id, o_custkey as file_pk from orders group by 2), top as (select max(run_id) as top from o),
+    j as (select file_pk, run_id, c_custkey is not null as hit from o full join (select c_custkey, c_custkey as file_pk from customer where c_custkey % 2 = 0) using (file_pk)),
+    n as (select *, row_number() over (partition by run_id is null order by file_pk) as n from j)
+    select coalesce(run_id, n + top) as run_id, file_pk, cast(case when hit then 1 else 2 end as integer) as status from n, top""")
+def transforms_after(t):
+    runs = t.orders.groupBy(F.col("o_custkey").alias("file_pk")).agg(F.max("o_orderkey").alias("run_id")).withColumn("transform_cfg_id", F.lit(0)).withColumn("status", F.lit(2))
+    made = t.customer.filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("file_pk"), F.lit(0).alias("transform_cfg_id"), F.lit(1).alias("status"))
+    return derivatives.after_transforms(runs, made).select("run_id", "file_pk", "status")
+
+
+@query("chunked_run", """
+    with p as (select doc_id // 2 as file_pk, arg_max(text, doc_id) as text from documents where length(text) > 0 group by 1),
+    c as (select *, unnest(range(0, greatest(cast(ceil((length(text) - 1200) / 1000) as integer), 0) + 1)) as k from p)
+    select file_pk, cast(k as integer) as chunk_id, md5(substr(text, k * 1000 + 1, 1200)) as chunk_md5 from c
+    union all select vec_id, 0, md5('old') from embeddings where vec_id not in (select file_pk from p)""")
+def chunked_run(t):
+    old = t.embeddings.select(F.col("vec_id").alias("file_pk"), F.lit(0).alias("chunk_id"), F.lit(0).alias("char_start"), F.lit(3).alias("char_end"), F.lit("old").alias("chunk"))
+    own = t.documents.select(F.expr("doc_id div 2").alias("file_pk"), (F.col("doc_id") % 2).alias("run_id"), F.col("doc_id").alias("created_at"), "text")
+    made, _ = texts.chunked_run(old, own, 1200, 200)
+    return made.select("file_pk", "chunk_id", F.md5(F.col("chunk").cast("binary")).alias("chunk_md5"))
+
+
+@query("run_documents", "select count(*) as documents from documents where doc_id % 2 = 1 and length(text) > 0")
+def run_documents(t):
+    own = t.documents.select(F.expr("doc_id div 2").alias("file_pk"), (F.col("doc_id") % 2).alias("run_id"), F.col("doc_id").alias("created_at"), "text")
+    return texts.chunked_run(own.select("file_pk", F.lit(0).alias("chunk_id"), F.lit(0).alias("char_start"), F.lit(0).alias("char_end"), F.col("text").alias("chunk")), own, 1200, 200, run_id=1)[1]
+
+
+def _predicted(t: Tables) -> tuple[DataFrame, DataFrame]:
+    own = t.labels.select(F.col("doc_id").alias("file_pk"), F.col("toxic").alias("run_id"), F.array("quality").alias("labels"), F.lit("old").alias("text"))
+    work = t.labels.select(F.col("doc_id").alias("file_pk"), F.col("toxic").alias("run_id"), F.lit("pending").alias("status"))
+    made = t.documents.filter("doc_id % 3 = 0").select(F.col("doc_id").alias("file_pk"), F.array(F.lit(7).cast(t.labels.schema["quality"].dataType)).alias("labels"))
+    return training.after_predictions(own, work, made, 0)
+
+
+@query("predictions_after", """
+    select doc_id as file_pk, 0 as run_id, 7 as label, null as text from documents where doc_id % 3 = 0
+    union all select doc_id, toxic, quality, 'old' from labels where toxic = 1 or doc_id % 3 <> 0 or doc_id not in (select doc_id from documents)""")
+def predictions_after(t):
+    return _predicted(t)[0].select("file_pk", "run_id", F.get("labels", 0).alias("label"), "text")
+
+
+@query("tasks_predicted", """
+    select doc_id as file_pk, toxic as run_id, case when toxic = 0 and doc_id % 3 = 0 and doc_id in (select doc_id from documents) then 'done' else 'pending' end as status from labels""")
+def tasks_predicted(t):
+    return _predicted(t)[1]
+
+
+@query("files_to_predict", "select doc_id as file_pk from documents where doc_id in (select user_id from events where event_type = 'click')")
+def files_to_predict(t):
+    own = t.events.select(F.col("user_id").alias("file_pk"), F.col("event_type").alias("run_id"))
+    return training.files_to_predict(t.documents.select(F.col("doc_id").alias("file_pk")), own, "view", "click")
+
+
+@query("path_bytes", "select doc_id, lower(hex(encode('dir é/' || source || '/' || doc_id))) as bytes, 'dir é/' || source || '/' || doc_id as path from documents")
+def path_bytes(t):
+    data = S.path_bytes(F.concat(F.lit("dir é/"), "source", F.lit("/"), F.col("doc_id").cast("string")))
+    return t.documents.select("doc_id", F.lower(F.hex(data)).alias("bytes"), S.path_text(data).alias("path"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import upsert
 from ..operators.labels import named, without_labels
+from ..operators.lookups import files_with_tasks
 
 
 def training_frame(predictions: DataFrame, files: DataFrame, tasks: DataFrame, vocabulary: DataFrame, run_id: object, excluded: list[int] | None = None) -> DataFrame:
@@ -36,3 +38,18 @@ def predicted(model, rows: DataFrame, features: str, key: str) -> DataFrame:
 
     data = rows.select(key, array_to_vector(F.col(features).cast("array<double>")).alias("features"))
     return model.transform(data).select(key, F.col("prediction").cast("int").alias("label"))
+
+
+def files_to_predict(files: DataFrame, tasks: DataFrame, target_run: object, source_run: object | None = None) -> DataFrame:
+    """Files that have a task of the source run, or of the target run if no source is named."""
+    return files_with_tasks(files, tasks, target_run if source_run is None else source_run)
+
+
+def after_predictions(predictions: DataFrame, tasks: DataFrame, made: DataFrame, target_run: object) -> tuple[DataFrame, DataFrame]:
+    """Predictions with those made (file_pk, labels; each file once) for the run, and tasks with that run's tasks of those
+    files done. Columns that `made` lacks are null."""
+    rows = made.withColumn("run_id", F.lit(target_run).cast(predictions.schema["run_id"].dataType))
+    rows = rows.select(*((F.col(c) if c in rows.columns else F.lit(None).cast(predictions.schema[c].dataType).alias(c)) for c in predictions.columns))
+    hit = (F.col("run_id") == target_run) & F.col("made_")
+    done = tasks.join(made.select("file_pk", F.lit(True).alias("made_")), "file_pk", "left").withColumn("status", F.when(hit, "done").otherwise(F.col("status")))
+    return upsert(predictions, rows, ["file_pk", "run_id"]), done.select(*tasks.columns)
