@@ -19,15 +19,16 @@ def listing_changes(listing: DataFrame, catalog: DataFrame) -> DataFrame:
     return both.select("path", "size", "mtime", F.when(F.col("known").isNull(), "new").when(same, "same").otherwise("changed").alias("change"))
 
 
-def merged_catalog(listing: DataFrame, catalog: DataFrame, *, suffixes: list[str] | None = None) -> DataFrame:
+def merged_catalog(listing: DataFrame, catalog: DataFrame, *, suffixes: list[str] | None = None, most: int | None = None) -> DataFrame:
     """The catalogue (file_pk, path, size, mtime, status, content_hash) after a scan.
 
     New paths get keys after the largest one, by path; changed ones are reset to status 0 without a hash; the others,
-    and paths that were not listed, stay.
+    and paths that were not listed, stay. `most` files are seen at most, by path, those with other suffixes included.
     """
     from ..functions.scalars import suffix
 
-    seen = listing if suffixes is None else listing.filter(suffix(F.col("path")).isin(suffixes))
+    seen = listing if most is None else listing.orderBy("path").limit(most)
+    seen = seen if suffixes is None else seen.filter(suffix(F.col("path")).isin(suffixes))
     changes = listing_changes(seen.dropDuplicates(["path"]), catalog)
     moved = changes.filter("change = 'changed'").select("path", F.col("size").alias("new_size"), F.col("mtime").alias("new_mtime"))
     reset = F.col("new_mtime").isNotNull() | F.col("new_size").isNotNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import without_fence
+from ..functions.scalars import collision_suffix, without_fence
 
 
 def page_after(rows: DataFrame, key: str, last: object | None, size: int) -> DataFrame:
@@ -44,6 +44,18 @@ def keys_of_stems(rows: DataFrame, files: DataFrame) -> DataFrame:
     return rows.join(files.groupBy(stem.alias("stem")).agg(F.min("file_pk").alias("file_pk")), "stem")
 
 
+def free_targets(rows: DataFrame, taken: DataFrame, order: str) -> DataFrame:
+    """Rows (rel, hint, `order`) with target: rel for the first row by `order` that asks for it if no row of `taken` (rel)
+    has it; for all others rel with collision_suffix() before its ending. `order` is different on all rows of a rel."""
+    first = rows.groupBy("rel").agg(F.min(order).alias("first_"))
+    free = first.join(taken.select("rel"), "rel", "left_anti")
+    ending = collision_suffix(F.col("rel"), F.coalesce("hint", F.lit("")))
+    apart = r"^(.*[^/])(\.[^./]+)$"
+    other = F.when(F.rlike("rel", F.lit(apart)), F.concat(F.regexp_extract("rel", apart, 1), ending, F.regexp_extract("rel", apart, 2))).otherwise(F.concat("rel", ending))
+    target = F.when(F.col(order) == F.col("first_"), F.col("rel")).otherwise(other)
+    return rows.join(free, "rel", "left").withColumn("target", target).drop("first_")
+
+
 def evaluated_run(predictions: DataFrame, truth: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(sample, label, truth, predicted) of two tables (file_pk, labels) over all labels of a vocabulary, for the measures of
     labels.multilabel() and per_label(). Files that are in one table alone are left out; a null list holds no label."""

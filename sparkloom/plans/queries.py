@@ -946,3 +946,22 @@ def files_to_predict(t):
 def path_bytes(t):
     data = S.path_bytes(F.concat(F.lit("dir é/"), "source", F.lit("/"), F.col("doc_id").cast("string")))
     return t.documents.select("doc_id", F.lower(F.hex(data)).alias("bytes"), S.path_text(data).alias("path"))
+
+
+@query("free_targets", """
+    with r as (select doc_id, source || '/f' || (doc_id % 50) || '.txt' as rel from documents)
+    select doc_id, case when doc_id % 50 = 7 or doc_id > min(doc_id) over (partition by rel)
+                        then left(rel, length(rel) - 4) || '__' || substr(sha1(rel || '|' || doc_id), 1, 10) || '.txt' else rel end as target from r""")
+def free_targets(t):
+    rows = t.documents.select("doc_id", F.format_string("%s/f%d.txt", F.col("source"), F.col("doc_id") % 50).alias("rel"), F.col("doc_id").cast("string").alias("hint"))
+    return lookups.free_targets(rows, rows.filter("doc_id % 50 = 7"), "doc_id").select("doc_id", "target")
+
+
+@query("scan_capped", f"""
+    with l as (select * from (select * from {LISTING} order by path limit 150) where path like '%1'), c as (select * from {CATALOG}), top as (select max(file_pk) as top from c)
+    select coalesce(file_pk, top + row_number() over (partition by file_pk is null order by path)) as file_pk, path, coalesce(l.size, c.size) as size from l full join c using (path), top""")
+def scan_capped(t):
+    # paths get an ending for the scan, and lose it again
+    named = lambda rows: rows.withColumn("path", F.concat("path", F.lit("."), F.right("path", F.lit(1))))
+    made = catalog.merged_catalog(named(_listing(t)), named(_catalog(t)), suffixes=[".1"], most=150)
+    return made.select("file_pk", F.expr("left(path, length(path) - 2)").alias("path"), "size")

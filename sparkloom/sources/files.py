@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import tarfile
 import zipfile
@@ -44,16 +45,17 @@ def usable_urls(rows: DataFrame) -> DataFrame:
 
 
 def url_table(spark: SparkSession, path: str) -> DataFrame:
-    """URLs of a CSV file: the column url, link or href, whatever its case; else the first column, and the first row is
-    data if it begins with http."""
-    rows = spark.read.option("header", "false").csv(path)
-    first = [x or "" for x in (spark.read.text(path).first() or [""])[0].split(",")]
-    names = [x.strip().strip('"').lower() for x in first]
+    """URLs of a CSV file: the column url, link or href, whatever its case; else the first column. The first line that isn't
+    blank is data if no column has such a name and it begins with http; if not, that line alone is left out. Rows that are
+    too short have none."""
+    first = spark.read.text(path).filter(F.trim("value") != "").first()
+    cells = next(csv.reader([first[0]])) if first else [""]
+    names = [x.strip().lower() for x in cells]
     place = next((names.index(n) for n in ("url", "link", "href") if n in names), None)
     headed = place is not None or not names[0].startswith("http")
-    column = F.col(f"_c{place or 0}")
-    out = usable_urls(rows.select(column.alias("url")))
-    return out.filter(F.col("url") != F.lit(first[place or 0].strip().strip('"'))) if headed else out
+    schema = ", ".join(f"_c{i} string" for i in range(len(names)))
+    rows = spark.read.schema(schema).option("header", headed).option("escape", '"').csv(path)
+    return usable_urls(rows.select(F.col(f"_c{place or 0}").alias("url")))
 
 
 def archive_members(files: DataFrame) -> DataFrame:

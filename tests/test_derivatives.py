@@ -4,7 +4,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.functions import scalars
-from sparkloom.operators import calls, derivatives, images
+from sparkloom.operators import calls, derivatives, images, lookups
+from sparkloom.sources import files
 
 DERIVATIVE = "deriv_pk long, file_pk long, preset string, transform_cfg_id int, run_id long, out_rel string, width int, height int, fmt string, status int, error string"
 IMAGE = "file_pk long, image struct<origin: string, height: int, width: int, nChannels: int, mode: int, data: binary>"
@@ -60,3 +61,21 @@ def test_the_labelling_loop_ends_when_nothing_can_be_claimed(spark):
     assert sorted(r["file_pk"] for r in done.collect()) == [0, 1, 2, 4]
     none, nothing = calls.dispatched_until_done(q.filter("false"), now, 2, call, [], attempts=2, base=1, factor=2, most=9)
     assert none.count() == nothing.count() == 0
+
+
+def test_url_columns(spark, tmp_path):
+    cases = {
+        "named": ('n, Link ,x\n1,http://a,2\n2,"http://b?q=""1"",2",3\n3\n\n4,#no,5\n5, Link ,x\n', ["http://a", 'http://b?q="1",2', "Link"]),
+        "bare": ("http://a,1\nhttp://a,1\nhttp://b\n", ["http://a", "http://a", "http://b"]),
+        "headed": ("place,n\nhttp://a,1\nplace,n\n", ["http://a", "place"]),
+        "empty": ("", []),
+    }
+    for name, (text, told) in cases.items():
+        (tmp_path / name).write_text(text)
+        assert sorted(r["url"] for r in files.url_table(spark, str(tmp_path / name)).collect()) == sorted(told), name
+
+
+def test_targets_of_odd_names(spark):
+    rows = spark.createDataFrame([(k, r, None) for k, r in enumerate(["a/.b", "a/.b", "a.tar.gz", "c", "c"])], "n long, rel string, hint string")
+    made = {r["n"]: r["target"] for r in lookups.free_targets(rows, rows.filter("n = 2"), "n").collect()}
+    assert made[0] == "a/.b" and made[1].startswith("a/.b__") and made[2].startswith("a.tar__") and made[2].endswith(".gz") and made[3] == "c" and len(made[4]) == 13
