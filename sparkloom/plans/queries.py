@@ -615,7 +615,7 @@ def reading_order(t):
     reach(page, node, other) as (select page, a, a from s union select r.page, r.node, s.b from reach r join s on s.page = r.page and s.a = r.other)
     select page, node as block, min(other) as region from reach group by 1, 2""")
 def layout_regions(t):
-    return layout.regions(layout.block_relations(t.blocks(), 20.0, 50.0), kept)
+    return layout.block_regions(t.blocks(), 20.0, 50.0, kept)
 
 
 @query("layout_tables", f"""
