@@ -108,9 +108,13 @@ def block_regions(blocks: DataFrame, row_tolerance: float, column_tolerance: flo
     return _labelled(blocks, row_tolerance, column_tolerance, keep).filter("first and not alone").select("page", "block", "region")
 
 
-def tables(blocks: DataFrame, relations: DataFrame, row_tolerance: float, keep: Callable[[DataFrame], DataFrame], *, least_rows: int = 2, least_columns: int = 2) -> DataFrame:
-    """page, region, n_blocks, n_rows of regions with at least `least_rows` rows and `least_columns` blocks."""
-    own = regions(relations, keep, rows_only=True).join(blocks, ["page", "block"])
+def tables(blocks: DataFrame, relations: DataFrame | None, row_tolerance: float, keep: Callable[[DataFrame], DataFrame], *, least_rows: int = 2, least_columns: int = 2) -> DataFrame:
+    """page, region, n_blocks, n_rows of regions with at least `least_rows` rows and `least_columns` blocks. Without
+    `relations`, the regions are those of blocks in a row by `row_tolerance`, and pairs are not made."""
+    if relations is None:
+        own = _labelled(blocks, row_tolerance, None, keep).filter("not alone")
+    else:
+        own = regions(relations, keep, rows_only=True).join(blocks, ["page", "block"])
     found = own.groupBy("page", "region").agg(F.count("*").alias("n_blocks"), F.count_distinct((F.col("y") / row_tolerance).cast("int")).alias("n_rows"))
     return found.filter((F.col("n_rows") >= least_rows) & (F.col("n_blocks") >= least_columns))
 

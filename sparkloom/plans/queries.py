@@ -624,7 +624,7 @@ def layout_regions(t):
     g as (select page, node as block, min(other) as region from reach group by 1, 2)
     select page, region, count(*) as n_blocks, count(distinct cast(trunc(y / 20) as integer)) as n_rows from g join {BLOCKS} using (page, block) group by 1, 2 having n_rows >= 2 and n_blocks >= 2""")
 def layout_tables(t):
-    return layout.tables(t.blocks(), layout.block_relations(t.blocks(), 20.0, 50.0), 20.0, kept)
+    return layout.tables(t.blocks(), None, 20.0, kept)
 
 
 @query("layout_summary", f"""

@@ -73,12 +73,22 @@ def test_near_blocks_join_what_no_run_joins(spark):
     assert {(r["page"], r["block"], r["region"]) for r in made} == {(1, k, 0) for k in range(30)}
 
 
+def test_tables_are_those_of_all_pairs(spark):
+    rows = [r for seed in range(3) for r in odd_blocks(seed) if r[2] is not None and r[3] is not None and math.isfinite(r[3]) and r[1] is not None and r[1] >= 0 and r[0] is not None and r[0] >= 0]
+    rows = list({r[:2]: r for r in rows}.values())
+    blocks = spark.createDataFrame(rows, SCHEMA)
+    told = layout.tables(blocks, layout.block_relations(blocks, 20.0, 50.0), 20.0, kept).collect()
+    made = layout.tables(blocks, None, 20.0, kept).collect()
+    assert told and sorted(made) == sorted(told)
+
+
 def test_empty_blocks(spark):
     blocks = spark.createDataFrame([], SCHEMA)
     assert layout.block_regions(blocks, 20.0, 50.0, kept).count() == 0
+    assert layout.tables(blocks, None, 20.0, kept).count() == 0
 
 
-@pytest.mark.parametrize("name", ["layout_regions"])
+@pytest.mark.parametrize("name", ["layout_regions", "layout_tables"])
 def test_no_step_has_more_rows_than_blocks(spark, monkeypatch, name):
     sizes = []
 
